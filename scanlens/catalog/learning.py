@@ -1 +1,144 @@
-"""To be filled."""
+"""Oversampling, models and their scores.  The models are trained once per session and table folder."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from scanlens import constants as K
+from scanlens.catalog.registry import FLOWS_SQL, query, rounded
+from scanlens.functions import labels as L
+from scanlens.operators import smote as oversampling
+from scanlens.operators import trees, verdicts
+from scanlens.operators.neighbours import nearest_neighbours
+from scanlens.operators.scale import fit_scaler
+from scanlens.session import written
+from scanlens.sources.flows_view import dirty_flows, flows
+
+_TRAINED: dict[tuple[str, str], object] = {}
+
+
+def _trained(spark, folder):
+    from scanlens.plans.train import train_contract
+
+    session = (spark.sparkContext.applicationId, folder)
+    if session not in _TRAINED:
+        _TRAINED[session] = train_contract(dirty_flows(spark, folder))
+    return _TRAINED[session]
+
+
+def _scaled(spark, folder):
+    labelled = flows(spark, folder).select("flow_id", L.attack_exact(F.col("label")).alias("y"), *K.FEATURES)
+    return fit_scaler(labelled, K.FEATURES).transform(labelled)
+
+
+_SCALED_SQL = (
+    f"{FLOWS_SQL}, z AS (SELECT flow_id, label, "
+    + ", ".join(
+        f"({c} - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1) AS {c}" for c in K.FEATURES
+    )
+    + " FROM flows)"
+)
+
+
+@query(
+    "minority_neighbours",
+    f"WITH {_SCALED_SQL}, raw AS (SELECT min(flow_id) AS point, count(*) AS weight, {', '.join(K.FEATURES)} FROM flows "
+    f"WHERE label = 'PortScan' GROUP BY {', '.join(K.FEATURES)}), "
+    "p AS (SELECT raw.point, raw.weight, "
+    + ", ".join(f"z.{c}" for c in K.FEATURES)
+    + " FROM raw JOIN z ON z.flow_id = raw.point), d AS (SELECT a.point, b.weight, sqrt("
+    + " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in K.FEATURES)
+    + """) AS distance, a.weight - 1 AS copies FROM p a JOIN p b ON a.point <> b.point),
+    c AS (SELECT point, distance, copies, sum(weight) OVER (PARTITION BY point ORDER BY distance ROWS UNBOUNDED PRECEDING) AS reached FROM d)
+    SELECT p.point, p.weight, round(CASE WHEN p.weight > 5 THEN 0 ELSE
+      (SELECT min(distance) FROM c WHERE c.point = p.point AND reached + copies >= 5) END, 6) AS fifth_distance FROM p""",
+)
+def minority_neighbours(spark, folder):
+    """Distance from each distinct attack row to its fifth neighbour, copies included."""
+    vector = F.array(*[F.col(c) for c in K.FEATURES])
+    points = written(
+        _scaled(spark, folder)
+        .where("y = 1")
+        .groupBy(vector.alias("vector"))
+        .agg(F.min("flow_id").alias("point"), F.count(F.lit(1)).alias("weight")),
+        "points",
+    )
+    found = nearest_neighbours(points, K.SMOTE_NEIGHBOURS, len(K.FEATURES)).select("point", "distance", F.col("weight").alias("w"))
+    steps = F.array_sort(F.collect_list(F.struct("distance", "w")))
+    fifth = F.aggregate(
+        steps,
+        F.struct((F.col("weight") - 1).alias("n"), F.when(F.col("weight") > 5, F.lit(0.0)).alias("d")),
+        lambda s, x: F.struct(
+            (s["n"] + x["w"]).alias("n"), F.coalesce(s["d"], F.when(s["n"] + x["w"] >= 5, x["distance"])).alias("d")
+        ),
+    )
+    return (
+        points.select("point", "weight")
+        .join(found, "point", "left")
+        .groupBy("point", "weight")
+        .agg(fifth["d"].alias("d"))
+        .select("point", "weight", rounded("d").alias("fifth_distance"))
+    )
+
+
+@query("smote_balance")
+def smote_balance(spark, folder):
+    scaled = written(_scaled(spark, folder), "scaled")
+    return oversampling.smote(scaled, K.FEATURES)
+
+
+def _scores(spark, folder, model):
+    trained = _trained(spark, folder)
+    return trained.predict(trained.test, model).select("flow_id", "y", "prediction", rounded("confidence").alias("confidence"))
+
+
+@query("rf_score")
+def rf_score(spark, folder):
+    return _scores(spark, folder, "Random Forest")
+
+
+@query("gbt_score")
+def gbt_score(spark, folder):
+    return _scores(spark, folder, "Boosted Trees")
+
+
+@query("iforest_score")
+def iforest_score(spark, folder):
+    trained = _trained(spark, folder)
+    return trained.predict(trained.test, "Isolation Forest").select(
+        "flow_id", "y", "prediction", rounded("anomaly_score").alias("anomaly_score")
+    )
+
+
+@query("model_comparison")
+def model_comparison(spark, folder):
+    return _trained(spark, folder).metrics
+
+
+@query("feature_importances")
+def feature_importances(spark, folder):
+    trained = _trained(spark, folder)
+    return trees.feature_importances(trained.models["Random Forest"], trained.features, spark)
+
+
+@query("graded_detections")
+def graded_detections(spark, folder):
+    """Every flow scored by the forest and graded, counted per source and action."""
+    from scanlens.plans.score import score_flows
+
+    graded = score_flows(dirty_flows(spark, folder), _trained(spark, folder))
+    return graded.groupBy("src_ip", "action").agg(F.count(F.lit(1)).alias("flows"))
+
+
+@query("model_agreement")
+def model_agreement(spark, folder):
+    """Votes of the three models on the held-out flows, graded into severities."""
+    trained = _trained(spark, folder)
+    scored = trained.test
+    for column, model in (("vote_a", "Random Forest"), ("vote_b", "Boosted Trees"), ("vote_c", "Isolation Forest")):
+        extra = [c for c in ("vote_a", "vote_b", "vote_c") if c in scored.columns]
+        scored = trained.predict(scored, model).withColumn(column, F.col("confidence")).select(
+            "flow_id", "y", *[F.col(f"`{f}`") for f in trained.features], *extra, column
+        )
+    graded = verdicts.with_severity(scored, ["vote_a", "vote_b", "vote_c"])
+    return graded.groupBy("severity", "votes", "y").agg(F.count(F.lit(1)).alias("flows"))

@@ -9,13 +9,18 @@ from scanlens.catalog.registry import FLOWS_SQL, query, rounded
 from scanlens.functions import labels as L
 from scanlens.functions.scalars import epoch_seconds
 from scanlens.operators import lookups, soc, windows
+from scanlens.session import spread
 from scanlens.sources import scans
 from scanlens.sources.flows_view import flows, table
 
 
 def _scan_texts(spark, folder):
     """One scan report per line item: two hosts, three ports, arguments and path by order key."""
-    item = table(spark, folder, "lineitem")
+    item = spread(
+        table(spark, folder, "lineitem").select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"
+        )
+    )
     state = F.when(F.col("l_returnflag") == "R", "open").when(F.col("l_returnflag") == "A", "closed").otherwise("open|filtered")
     line = F.when(F.col("l_linestatus") == "O", "open").otherwise("closed")
     variant = F.col("l_orderkey") % 8

@@ -49,11 +49,18 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out to all cores when the input has fewer partitions than that.
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a plain table scan out to all cores when it has fewer splits.
 
-    For CPU-bound steps on a small or badly split input only; a large scan already
-    has more partitions than cores and passes through unchanged.
+    For CPU-bound steps over one small file; a large scan has more splits than
+    cores and passes through unchanged.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """Write to the shared folder and read back: short lineage, survives lost executors."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
