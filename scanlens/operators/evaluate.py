@@ -9,6 +9,7 @@ from scanlens import constants as K
 from scanlens.functions.scalars import ratio
 from scanlens.limits import IN_MEMORY_ROWS
 from scanlens.operators.ranking import running_totals
+from scanlens.session import written
 
 
 def confusion(df: DataFrame, truth: str = "y", prediction: str = "prediction", by: list[str] | None = None) -> DataFrame:
@@ -90,7 +91,7 @@ def roc_points(
     df: DataFrame, truth: str = "y", score: str = "score", rows_per_bucket: int = IN_MEMORY_ROWS
 ) -> DataFrame:
     """(threshold, fpr, tpr) per distinct score, from the highest threshold down."""
-    counts = score_counts(df, truth, score).persist()
+    counts = written(score_counts(df, truth, score), "score-counts")
     totals = counts.agg(F.sum("positives").alias("p"), F.sum("negatives").alias("n")).first()
     cumulated = running_totals(counts, "score", ["positives", "negatives"], True, rows_per_bucket)
     return cumulated.select(
@@ -104,7 +105,7 @@ def roc_auc(
     df: DataFrame, truth: str = "y", score: str = "score", rows_per_bucket: int = IN_MEMORY_ROWS
 ) -> DataFrame:
     """Share of (positive, negative) pairs ranked correctly, ties counted half; NULL with one class."""
-    counts = score_counts(df, truth, score).persist()
+    counts = written(score_counts(df, truth, score), "score-counts")
     cumulated = running_totals(counts, "score", ["negatives"], False, rows_per_bucket)
     below = F.col("cum_negatives") - F.col("negatives")
     won = F.col("positives") * (below + F.col("negatives") / 2)

@@ -57,6 +57,8 @@ def _narrowed_quantiles(df, columns, probabilities, in_memory_rows):
                 for rank in {math.floor(position), math.ceil(position)}:
                     targets.setdefault((c, rank), _Target(c, rank))
 
+    if not targets:
+        return {c: [None] * len(probabilities) for c in columns}
     sizes = {t: counts[t.column] for t in map(_key, targets.values())}
     _bracket(df, list(targets.values()), sizes, lambda t: F.col(t.column), lambda t: t.rank)
     while True:

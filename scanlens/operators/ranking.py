@@ -190,7 +190,7 @@ def running_totals(
 ) -> DataFrame:
     """Cumulative sums (``cum_<name>``) along a column whose values are distinct.
 
-    ``df`` is read more than once; pass an aggregate that is persisted.
+    ``df`` is read more than once; pass a written table.
     """
     rows = df.count()
     splits = split_points(df, order, rows, rows_per_bucket)

@@ -35,17 +35,23 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_local_root: list[str] = []
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the folder named by ``spark.checkpoint.dir``.
 
     Only a local session without that setting falls back to a temporary folder:
-    on a cluster executors would not see it.
+    on a cluster executors would not see it.  The folder is scratch space.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    name = "spark.checkpoint.dir"
+    root = spark.conf.get(name, None) or spark.sparkContext.getConf().get(name)
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="scanlens-")
+            raise ValueError(f"set {name} to a folder all executors share")
+        if not _local_root:
+            _local_root.append(tempfile.mkdtemp(prefix="scanlens-"))
+        root = _local_root[0]
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
