@@ -19,7 +19,7 @@ def to_double(c: Column) -> Column:
 
 
 def clip(c: Column, lower: float | None, upper: float | None) -> Column:
-    """Cap to the fences; NULL and NaN stay as they are."""
+    """Cap to the fences; NULL stays NULL (map NaN to NULL first, as it compares above every fence)."""
     if lower is None or upper is None:
         return c
     return F.when(c < F.lit(lower), F.lit(lower)).when(c > F.lit(upper), F.lit(upper)).otherwise(c)

@@ -57,6 +57,9 @@ def read_flows_csv(
         .option("nanValue", "NaN")
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .option("enforceSchema", True)
+        # A line is malformed or not whichever columns are read; only the strict and
+        # lenient line rules need every field looked at.
+        .option("columnPruning", bad_lines == "error")
         .schema(T.StructType(fields))
     )
     return strip_names(reader.csv(path))
