@@ -126,7 +126,7 @@ def _search(asking: pd.DataFrame, points: pd.DataFrame, k: int, width: int) -> p
             "distance": distance,
             "other": p_ids[column],
             "weight": points["weight"].to_numpy()[column],
-            "vector": list(p[column]),
+            "vector": pd.Series(list(p[column]), dtype=object),
         }
     )
 

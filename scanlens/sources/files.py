@@ -35,34 +35,38 @@ def read_flows_csv(
     """Flow file with a header: names stripped, measures DOUBLE, named columns text.
 
     The header fixes the schema, so nothing is inferred.  ``bad_lines``: ``error``
-    fails on a malformed line, ``skip`` drops it, ``quarantine`` keeps it as text in
-    ``_corrupt_record``.
+    fails on a line with the wrong number of fields or a measure that is no number;
+    ``skip`` drops lines with the wrong number of fields; ``quarantine`` keeps those as
+    text in ``_corrupt_record``.  The last two read a measure that is no number as NULL.
     """
     modes = {"error": "FAILFAST", "skip": "DROPMALFORMED", "quarantine": "PERMISSIVE"}
     if bad_lines not in modes:
         raise ValueError(f"bad_lines must be one of {sorted(modes)}")
-    first = path if isinstance(path, str) else path[0]
-    names = csv_header(spark, first)
-    fields = [
-        T.StructField(n, T.StringType() if n.strip() in text_columns else T.DoubleType()) for n in names
-    ]
+    lenient = bad_lines != "error"
+    names = csv_header(spark, path if isinstance(path, str) else path[0])
+    is_text = {n: n.strip() in text_columns for n in names}
+    # Lenient reading splits every line whichever columns are wanted, and converts
+    # afterwards: a line is then bad for its shape only, in every query alike.
+    fields = [T.StructField(n, T.StringType() if lenient or is_text[n] else T.DoubleType()) for n in names]
     if bad_lines == "quarantine":
         fields.append(T.StructField(_CORRUPT, T.StringType()))
-    reader = (
+    lines = (
         spark.read.option("header", True)
         .option("mode", modes[bad_lines])
         .option("ignoreLeadingWhiteSpace", True)
+        .option("ignoreTrailingWhiteSpace", True)
         .option("positiveInf", "Infinity")
         .option("negativeInf", "-Infinity")
         .option("nanValue", "NaN")
         .option("columnNameOfCorruptRecord", _CORRUPT)
-        .option("enforceSchema", True)
-        # A line is malformed or not whichever columns are read; only the strict and
-        # lenient line rules need every field looked at.
-        .option("columnPruning", bad_lines == "error")
+        .option("columnPruning", not lenient)
         .schema(T.StructType(fields))
+        .csv(path)
     )
-    return strip_names(reader.csv(path))
+    if lenient:
+        measures = {n: F.col(f"`{n}`").try_cast("double") for n in names if not is_text[n]}
+        lines = lines.withColumns(measures)
+    return strip_names(lines)
 
 
 def read_first_existing(spark: SparkSession, paths: list[str], **options) -> DataFrame:

@@ -36,10 +36,12 @@ def test_flow_file_names_and_types(spark, flow_file):
 
 def test_bad_lines(spark, tmp_path):
     path = tmp_path / "bad.csv"
-    path.write_text("a,b,Label\n1,2,x\n3,oops,y\n5,6,z\n")
-    assert files.read_flows_csv(spark, str(path), bad_lines="skip").count() == 2
-    kept = files.read_flows_csv(spark, str(path), bad_lines="quarantine").cache()
-    assert kept.count() == 3 and kept.where("_corrupt_record is not null").count() == 1
+    path.write_text("a,b,Label\n1,2,x\n3,oops,y\n5,6,z,7\n8,9,w\n")
+    kept = files.read_flows_csv(spark, str(path), bad_lines="skip")
+    assert kept.count() == 3 and kept.select("a").count() == 3
+    assert {(r["a"], r["b"]) for r in kept.collect()} == {(1.0, 2.0), (3.0, None), (8.0, 9.0)}
+    marked = files.read_flows_csv(spark, str(path), bad_lines="quarantine").cache()
+    assert marked.count() == 4 and [r["_corrupt_record"] for r in marked.where("_corrupt_record is not null").collect()] == ["5,6,z,7"]
     with pytest.raises(Exception):
         files.read_flows_csv(spark, str(path)).collect()
     with pytest.raises(ValueError):
