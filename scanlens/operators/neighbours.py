@@ -113,12 +113,21 @@ def _search(asking: pd.DataFrame, points: pd.DataFrame, k: int, width: int) -> p
     pieces = []
     for start in range(0, len(q), step):
         block = slice(start, start + step)
-        distance = np.sqrt(((q[block, None, :] - p[None, :, :]) ** 2).sum(axis=2))
-        distance[q_ids[block, None] == p_ids[None, :]] = np.nan  # not its own neighbour
-        order = np.argsort(distance, axis=1, kind="stable")[:, :k]
-        picked = np.take_along_axis(distance, order, axis=1)
-        row, column = np.nonzero(picked <= radius[block, None])
-        pieces.append((row + start, order[row, column], picked[row, column]))
+        distance = np.zeros((len(q[block]), len(p)))
+        for d in range(width):
+            distance += (q[block, d, None] - p[None, :, d]) ** 2
+        distance = np.sqrt(distance)
+        distance[q_ids[block, None] == p_ids[None, :]] = np.inf  # not its own neighbour
+        last = min(k, len(p)) - 1
+        reach = np.minimum(np.partition(distance, last, axis=1)[:, last], radius[block])
+        row, column = np.nonzero((distance <= reach[:, None]) & (distance < np.inf))
+        near = distance[row, column]
+        # Equal distances may give more than k: keep k per row, the smaller id first.
+        order = np.lexsort((column, near, row))
+        row, column, near = row[order], column[order], near[order]
+        first = np.searchsorted(row, row)
+        kept = np.arange(len(row)) - first < k
+        pieces.append((row[kept] + start, column[kept], near[kept]))
     row, column, distance = (np.concatenate(part) for part in zip(*pieces))
     return pd.DataFrame(
         {

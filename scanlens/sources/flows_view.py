@@ -25,7 +25,7 @@ def with_flow_columns(events: DataFrame) -> DataFrame:
     return events.select(
         event_id.cast("string").alias("flow_id"),
         "event_id",
-        F.col("ts").cast("timestamp").alias("ts"),
+        "ts",
         k.alias("k"),
         "value",
         "event_type",

@@ -57,17 +57,21 @@ class BlockPeriods(StatefulProcessor):
             fresh = list(zip(frame["first"].tolist(), frame["last_second"].tolist(), frame["events"].tolist()))
             periods = merge_periods(periods + fresh, TTL_SECONDS)
         self.open.put(periods)
-        for _, last, _ in periods:
-            self.handle.registerTimer((last + TTL_SECONDS) * 1000)
+        self._wake_at_next_expiry(periods)
         yield self._rows(key[0], periods, False)
 
+    def _wake_at_next_expiry(self, periods: list[tuple[int, int, int]]) -> None:
+        """One timer per source is enough: when it fires, the next one is set."""
+        self.handle.registerTimer((min(last for _, last, _ in periods) + TTL_SECONDS) * 1000)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs() // 1000
+        now = timerValues.getCurrentWatermarkInMs() // 1000
         periods = [tuple(p) for p in self.open.get()]
         done = [p for p in periods if p[1] + TTL_SECONDS <= now]
         left = [p for p in periods if p[1] + TTL_SECONDS > now]
         if left:
             self.open.put(left)
+            self._wake_at_next_expiry(left)
         else:
             self.open.clear()
         if done:
@@ -107,11 +111,10 @@ def block_periods(blocks: DataFrame, watermark: str = K.WATERMARK, source: str =
 def settled_periods(rows: DataFrame) -> DataFrame:
     """Periods out of the emitted rows (with their batch number): closed ones, and the open
     ones of each source's last update.  A late event may have joined earlier open periods."""
-    newest = rows.groupBy("src_ip").agg(F.max("batch").alias("newest"))
-    closed = rows.where("closed")
+    closed, opened = rows.where("closed"), rows.where(~F.col("closed"))
+    newest = opened.groupBy("src_ip").agg(F.max("batch").alias("newest"))
     still_open = (
-        rows.where(~F.col("closed"))
-        .join(newest, "src_ip")
+        opened.join(newest, "src_ip")
         .where(F.col("batch") == F.col("newest"))
         .join(closed.select("src_ip", "blocked_from"), ["src_ip", "blocked_from"], "left_anti")
     )

@@ -28,7 +28,7 @@ def _stream(spark, parts):
     session = sources.stream_session(spark)
     schema = session.read.parquet(f"{root}/0").schema
     stream = session.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/*")
-    return with_flow_columns(stream)
+    return with_flow_columns(stream.withColumn("ts", F.col("ts").cast("timestamp")))
 
 
 def _rows(df, *columns):
@@ -59,7 +59,8 @@ def test_expired_periods_are_closed(spark, parts):
     rows = dispatch.run_to_end(state.block_periods(blocks, "60 days"), spark, "open", "update")
     assert rows.where("closed").count() == 0  # the watermark never passes an expiry
     session = sources.stream_session(spark)
-    one = with_flow_columns(session.readStream.schema(parts[1].schema).parquet(f"{parts[0]}/0")).where("event_type = 'error'")
+    some = session.readStream.schema(parts[1].schema).parquet(f"{parts[0]}/0")
+    one = with_flow_columns(some.withColumn("ts", F.col("ts").cast("timestamp"))).where("event_type = 'error'")
     closed = dispatch.run_to_end(state.block_periods(one, "10 minutes"), spark, "closed", "update").where("closed")
     assert closed.count() > 0
 
@@ -119,7 +120,8 @@ def test_sessions_equal_batch_where_closed(spark, parts):
     rows = dispatch.run_to_end(stream_windows.sessions(_stream(spark, parts), "60 days"), spark, "none")
     assert rows.count() == 0  # nothing is closed before the watermark passes
     session = sources.stream_session(spark)
-    one = with_flow_columns(session.readStream.schema(parts[1].schema).parquet(f"{parts[0]}/*"))
+    stream = session.readStream.schema(parts[1].schema).parquet(f"{parts[0]}/*")
+    one = with_flow_columns(stream.withColumn("ts", F.col("ts").cast("timestamp")))
     closed = dispatch.run_to_end(stream_windows.sessions(one), spark, "sessions")
     columns = ("src_ip", "session_start", "last_event", "events")
     batch = _rows(windows.sessions(with_flow_columns(parts[1])), *columns)
