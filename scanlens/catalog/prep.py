@@ -27,6 +27,14 @@ def class_distribution(spark, folder):
     return profile.class_distribution(flows(spark, folder)).withColumn("share", rounded("share"))
 
 
+@query(
+    "top_ports",
+    f"WITH {FLOWS_SQL} SELECT dst_port, count(*) AS flows FROM flows GROUP BY dst_port ORDER BY flows DESC, dst_port LIMIT 10",
+)
+def top_ports(spark, folder):
+    return profile.top_values(flows(spark, folder), "dst_port")
+
+
 @query(
     "label_encode_variants",
     f"""WITH {DIRTY_SQL} SELECT label, count(*) AS flows,

@@ -38,6 +38,12 @@ def class_distribution(df: DataFrame, label: str = "label") -> DataFrame:
     return counts.withColumn("share", F.col("flows") / total)
 
 
+def top_values(df: DataFrame, column: str, n: int = 10) -> DataFrame:
+    """The most frequent values of a column; ties go to the smaller value."""
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("flows"))
+    return counts.orderBy(F.col("flows").desc(), column).limit(n)
+
+
 def _literal(values: dict[str, float | None]):
     return lambda f: F.lit(values[f]).cast("double")
 

@@ -1,7 +1,11 @@
-"""Training jobs: nine contract features, or the wide engineered set."""
+"""Training jobs: nine contract features, or the wide engineered set.
+
+python -m scanlens.plans.train --input flows.csv --output models/ [--wide]
+"""
 
 from __future__ import annotations
 
+import argparse
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
@@ -16,8 +20,8 @@ from scanlens.operators.preprocess import Preprocessing, apply_preprocessing, fi
 from scanlens.operators.scale import Scaler, fit_scaler
 from scanlens.operators.smote import smote
 from scanlens.operators.split import train_test_split
-from scanlens.session import written
-from scanlens.sources.files import path_exists, read_names, write_names
+from scanlens.session import build_session, written
+from scanlens.sources.files import path_exists, read_flows_csv, read_names, to_short_names, with_row_key, write_names
 
 FOREST, BOOSTED, ISOLATION = "Random Forest", "Boosted Trees", "Isolation Forest"
 _FOLDERS = {FOREST: "random_forest", BOOSTED: "boosted_trees"}
@@ -148,3 +152,22 @@ def compare_models(trained: Trained, test: DataFrame) -> DataFrame:
     )
     ordered = [(r["model"], r["unsupervised"], *[r[n] for n in names], *[r[m] for m in measures]) for r in rows]
     return evaluate.criteria(test.sparkSession.createDataFrame(ordered, schema))
+
+
+def main(arguments: list[str] | None = None) -> None:
+    parser = argparse.ArgumentParser(description="Train the three models on a labelled flow file")
+    parser.add_argument("--input", required=True, nargs="+", help="flow files, or folders of them, with one header")
+    parser.add_argument("--output", required=True, help="folder for parameters, models, metrics and test rows")
+    parser.add_argument("--wide", action="store_true", help="46 engineered and 2 synthetic features")
+    options = parser.parse_args(arguments)
+    spark = build_session("scanlens-train")
+    raw = with_row_key(read_flows_csv(spark, options.input))
+    trained = train_wide(raw) if options.wide else train_contract(to_short_names(raw))
+    trained.save(spark, options.output)
+    trained.metrics.show(truncate=False)
+    best = evaluate.best_supervised(trained.metrics).first()["best_model"]
+    print(f"best supervised model: {best}")
+
+
+if __name__ == "__main__":
+    main()

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from scanlens.constants import FEATURE_COLUMNS
 from scanlens.operators.clean import strip_names
 from scanlens.schemas import DECEPTION_SCHEMA, DETECTION_SCHEMA
+from scanlens.session import written
 
 _CORRUPT = "_corrupt_record"
 
@@ -94,6 +95,13 @@ def to_file_names(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in names.items() if k in df.columns})
 
 
+def with_row_key(df: DataFrame, key: str = "flow_id") -> DataFrame:
+    """Give rows without a key a unique, repeatable one: file name and position in a written copy."""
+    stored = written(df, "keyed-rows")
+    position = F.concat_ws("#", F.col("_metadata.file_name"), F.col("_metadata.row_index"))
+    return stored.select(position.alias(key), *[F.col(f"`{c}`") for c in df.columns])
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 

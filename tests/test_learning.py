@@ -215,6 +215,15 @@ def test_scoring_and_replay_jobs(spark, flows, trained, tmp_path):
     assert summary["events"] == flows.count() + 1
 
 
+def test_row_keys_are_unique_and_stable(spark):
+    df = spark.createDataFrame([(1.0,)] * 500, "a double").repartition(3)
+    keyed = files.with_row_key(df)
+    first = {r["flow_id"] for r in keyed.collect()}
+    assert len(first) == 500 == len(first | {r["flow_id"] for r in keyed.repartition(7).collect()})
+    marked = split.mark_test_rows(keyed.withColumn("y", F.lit(0)))
+    assert marked.where("is_test").count() == 100
+
+
 def test_missing_feature_is_an_error(flows, trained):
     with pytest.raises(ValueError, match="flow_duration"):
         trained.prepare(flows.drop("flow_duration"))
