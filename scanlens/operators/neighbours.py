@@ -19,7 +19,7 @@ from scanlens.functions.hashing import uniform
 from scanlens.limits import DRIVER_ROWS
 from scanlens.session import written
 
-CELL_POINTS = 2_000
+CELL_POINTS = 500
 _SAMPLE_PER_CELL = 20
 _QUERIES_PER_TASK = 50_000
 _BLOCK_NUMBERS = 4_000_000  # numbers per distance block (32 MB)
