@@ -81,10 +81,48 @@ def minority_neighbours(spark, folder):
     )
 
 
-@query("smote_balance")
+def _draw_sql(key: str, salt: str) -> str:
+    return f"CAST(CAST('0x' || substr(md5({key} || '|{salt}|42'), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296"
+
+
+_SMOTE_SQL = (
+    f"WITH {_SCALED_SQL}, n AS (SELECT count(*) FILTER (WHERE label = 'PortScan') AS few, "
+    "count(*) FILTER (WHERE label <> 'PortScan') AS many FROM flows), "
+    "r AS (SELECT flows.*, row_number() OVER (ORDER BY md5(flow_id || '|42'), flow_id) AS i FROM flows WHERE label = 'PortScan'), "
+    "raw AS (SELECT min(flow_id) AS point, count(*) AS weight, "
+    "sum((many - few) // few + CASE WHEN i <= (many - few) % few THEN 1 ELSE 0 END) AS children "
+    f"FROM r, n GROUP BY {', '.join(K.FEATURES)}), "
+    "p AS (SELECT raw.*, "
+    + ", ".join(f"z.{c}" for c in K.FEATURES)
+    + " FROM raw JOIN z ON z.flow_id = raw.point), "
+    "d AS (SELECT a.point, b.point AS other, b.weight, sqrt("
+    + " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in K.FEATURES)
+    + """) AS distance FROM p a JOIN p b ON a.point <> b.point),
+    near AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY point ORDER BY distance, other) <= 5),
+    x AS (SELECT point, other, distance, unnest(range(least(weight, 5))) AS copy FROM near
+      UNION ALL SELECT point, point, -1, unnest(range(least(weight - 1, 5))) FROM p),
+    partners AS (SELECT point, other, row_number() OVER (PARTITION BY point ORDER BY distance, other, copy) AS pos FROM x QUALIFY pos <= 5),
+    sizes AS (SELECT point, count(*) AS size FROM partners GROUP BY point),
+    kids AS (SELECT point, point || '#' || unnest(range(CAST(children AS BIGINT))) AS k FROM p),
+    drawn AS (SELECT kids.point, k, """
+    + _draw_sql("k", "step")
+    + " AS u, CAST(floor("
+    + _draw_sql("k", "pick")
+    + """ * size) AS BIGINT) + 1 AS pos FROM kids JOIN sizes USING (point))
+    SELECT 'smote-' || md5(k || '|42') AS flow_id, """
+    + ", ".join(f"round(p.{c} + u * (o.{c} - p.{c}) + 1e-9, 6) + 0.0 AS {c}" for c in K.FEATURES)
+    + ", 1 AS y FROM drawn JOIN p USING (point) JOIN partners q ON q.point = drawn.point AND q.pos = drawn.pos JOIN p o ON o.point = q.other"
+    " UNION ALL SELECT flow_id, "
+    + ", ".join(f"round({c} + 1e-9, 6) + 0.0 AS {c}" for c in K.FEATURES)
+    + ", CAST(label = 'PortScan' AS INTEGER) AS y FROM z"
+)
+
+
+@query("smote_balance", _SMOTE_SQL)
 def smote_balance(spark, folder):
     scaled = written(_scaled(spark, folder), "scaled")
-    return oversampling.smote(scaled, K.FEATURES)
+    balanced = oversampling.smote(scaled, K.FEATURES)
+    return balanced.select("flow_id", *[rounded(c, 6, 1e-9).alias(c) for c in K.FEATURES], "y")
 
 
 def _scores(spark, folder, model):
