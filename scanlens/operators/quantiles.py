@@ -59,21 +59,15 @@ def _narrowed_quantiles(df, columns, probabilities, in_memory_rows):
 
     if not targets:
         return {c: [None] * len(probabilities) for c in columns}
-    sizes = {t: counts[t.column] for t in map(_key, targets.values())}
-    _bracket(df, list(targets.values()), sizes, lambda t: F.col(t.column), lambda t: t.rank)
+    everything = {t: counts[t.column] for t in map(_key, targets.values())}
+    _bracket(df, list(targets.values()), everything, first=True)
     while True:
         _count_brackets(df, [t for t in targets.values() if t.value is None])
         pending = [t for t in targets.values() if t.value is None]
         wide = [t for t in pending if t.inside > in_memory_rows]
         if not wide:
             break
-        _bracket(
-            df,
-            wide,
-            {_key(t): t.inside for t in wide},
-            _open_interval,
-            lambda t: t.rank - t.below,
-        )
+        _bracket(df, wide, {_key(t): t.inside for t in wide}, first=False)
     if pending:
         _select_inside(df, pending)
 
@@ -107,65 +101,69 @@ def _open_interval(t: _Target) -> Column:
     return F.when((c > F.lit(t.low)) & (c < F.lit(t.high)), c)
 
 
-def _bracket(df, targets, sizes, values, local_rank) -> None:
-    """Set low/high of each target from a sketch of its candidate values."""
+def _bracket(df, targets, sizes, first: bool) -> None:
+    """Set low/high of each target from a sketch of its candidates.
+
+    Targets with the same candidates (one column, or one open interval) share a sketch.
+    """
+    groups: dict[tuple, list[_Target]] = {}
+    for t in targets:
+        groups.setdefault((t.column,) if first else (t.column, t.low, t.high), []).append(t)
+
+    def share(t: _Target) -> float:
+        return (t.rank if first else t.rank - t.below) / max(sizes[_key(t)] - 1, 1)
+
     exprs = []
-    for i, t in enumerate(targets):
-        share = local_rank(t) / max(sizes[_key(t)] - 1, 1)
-        ends = F.array(F.lit(max(0.0, share - _MARGIN)), F.lit(min(1.0, share + _MARGIN)))
-        candidates = values(t)
+    for i, members in enumerate(groups.values()):
+        candidates = F.col(members[0].column) if first else _open_interval(members[0])
+        ends = [e for t in members for e in (max(0.0, share(t) - _MARGIN), min(1.0, share(t) + _MARGIN))]
         exprs.append(
             F.struct(
-                F.percentile_approx(candidates, ends, _ACCURACY).alias("ends"),
+                F.percentile_approx(candidates, F.array(*[F.lit(e) for e in ends]), _ACCURACY).alias("ends"),
                 F.min(candidates).alias("min"),
                 F.max(candidates).alias("max"),
-            ).alias(f"t{i}")
+            ).alias(f"g{i}")
         )
     row = df.agg(*exprs).first()
-    for i, t in enumerate(targets):
-        t.low, t.high = row[f"t{i}"]["ends"]
-        # Widen a bracket that reaches an end of the data, so that rank 0 and n-1 are inside.
-        share = local_rank(t) / max(sizes[_key(t)] - 1, 1)
-        if share - _MARGIN <= 0:
-            t.low = row[f"t{i}"]["min"]
-        if share + _MARGIN >= 1:
-            t.high = row[f"t{i}"]["max"]
+    for i, members in enumerate(groups.values()):
+        found = row[f"g{i}"]
+        for j, t in enumerate(members):
+            # A bracket that reaches an end of the data is widened to it, so that rank 0 and n-1 are inside.
+            at = share(t)
+            t.low = found["min"] if at - _MARGIN <= 0 else found["ends"][2 * j]
+            t.high = found["max"] if at + _MARGIN >= 1 else found["ends"][2 * j + 1]
 
 
 def _count_brackets(df, targets) -> None:
     """Place each rank: on an end of its bracket, inside it, or in the part the sketch missed."""
     if not targets:
         return
-    exprs = []
-    for i, t in enumerate(targets):
-        c = F.col(t.column)
-        exprs.append(
-            F.struct(
-                F.count_if(c < F.lit(t.low)).alias("lt_low"),
-                F.count_if(c <= F.lit(t.low)).alias("le_low"),
-                F.count_if(c < F.lit(t.high)).alias("lt_high"),
-                F.count_if(c <= F.lit(t.high)).alias("le_high"),
-                F.count(c).alias("n"),
-                F.min(c).alias("min"),
-                F.max(c).alias("max"),
-            ).alias(f"t{i}")
-        )
-    row = df.agg(*exprs).first()
-    for i, t in enumerate(targets):
-        r = row[f"t{i}"]
-        if t.rank < r["lt_low"]:
-            # The sketch's bracket lies too high: search below it (bounds are exclusive).
-            t.low, t.high = math.nextafter(r["min"], -math.inf), t.low
-            t.below, t.inside = 0, r["lt_low"]
-        elif t.rank < r["le_low"]:
+    bounds = sorted({(t.column, v) for t in targets for v in (t.low, t.high)})
+    columns = sorted({t.column for t in targets})
+    row = df.agg(
+        *[F.count_if(F.col(c) < F.lit(v)).alias(f"lt{i}") for i, (c, v) in enumerate(bounds)],
+        *[F.count_if(F.col(c) <= F.lit(v)).alias(f"le{i}") for i, (c, v) in enumerate(bounds)],
+        *[
+            F.struct(F.count(c).alias("n"), F.min(c).alias("min"), F.max(c).alias("max")).alias(f"c{i}")
+            for i, c in enumerate(columns)
+        ],
+    ).first()
+    at = {bound: i for i, bound in enumerate(bounds)}
+    for t in targets:
+        low, high, whole = at[(t.column, t.low)], at[(t.column, t.high)], row[f"c{columns.index(t.column)}"]
+        if t.rank < row[f"lt{low}"]:
+            # The bracket lies too high: search below it (the new bounds are exclusive).
+            t.low, t.high = math.nextafter(whole["min"], -math.inf), t.low
+            t.below, t.inside = 0, row[f"lt{low}"]
+        elif t.rank < row[f"le{low}"]:
             t.value = t.low
-        elif t.rank < r["lt_high"]:
-            t.below, t.inside = r["le_low"], r["lt_high"] - r["le_low"]
-        elif t.rank < r["le_high"]:
+        elif t.rank < row[f"lt{high}"]:
+            t.below, t.inside = row[f"le{low}"], row[f"lt{high}"] - row[f"le{low}"]
+        elif t.rank < row[f"le{high}"]:
             t.value = t.high
         else:
-            t.low, t.high = t.high, math.nextafter(r["max"], math.inf)
-            t.below, t.inside = r["le_high"], r["n"] - r["le_high"]
+            t.low, t.high = t.high, math.nextafter(whole["max"], math.inf)
+            t.below, t.inside = row[f"le{high}"], whole["n"] - row[f"le{high}"]
 
 
 def _select_inside(df, targets) -> None:
