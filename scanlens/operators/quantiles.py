@@ -81,7 +81,9 @@ def _narrowed_quantiles(df, columns, probabilities, in_memory_rows):
             position = p * (counts[c] - 1)
             left = targets[(c, math.floor(position))].value
             right = targets[(c, math.ceil(position))].value
-            values.append(left if left == right else left + (right - left) * (position - math.floor(position)))
+            # The interpolation of the built-in percentile, so that both plans give the same bits.
+            upper, lower = math.ceil(position) - position, position - math.floor(position)
+            values.append(left if left == right else upper * left + lower * right)
         result[c] = values
     return result
 

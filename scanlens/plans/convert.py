@@ -14,7 +14,7 @@ from scanlens.session import build_session
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Turn scan reports into feature rows")
     parser.add_argument("--scans-dir", required=True)
-    parser.add_argument("--output", default="nmap_features")
+    parser.add_argument("--output", default="scan_features")
     options = parser.parse_args(arguments)
     spark = build_session("scanlens-convert")
     rows = scans_to_csv(spark, options.scans_dir, options.output)

@@ -32,6 +32,11 @@ def test_narrowed_quantiles_equal_numpy(spark, limit):
         assert found[name] == pytest.approx(list(np.quantile(values, shares)), rel=1e-12, abs=1e-12)
 
 
+def test_both_quantile_plans_give_the_same_bits(spark, flows):
+    columns, shares = ["flow_duration", "flow_iat_mean", "dst_port"], [0.1, 0.25, 0.5, 0.75, 0.9]
+    assert exact_quantiles(flows, columns, shares, in_memory_rows=20) == exact_quantiles(flows, columns, shares)
+
+
 def test_quantiles_of_empty_column(spark):
     df = spark.createDataFrame([(None,), (None,)], "a double")
     assert exact_quantiles(df, ["a"], [0.5]) == {"a": [None]}

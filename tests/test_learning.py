@@ -215,6 +215,26 @@ def test_scoring_and_replay_jobs(spark, flows, trained, tmp_path):
     assert summary["events"] == flows.count() + 1
 
 
+def test_command_lines(spark, flows, trained, tmp_path, capsys):
+    from scanlens.plans import convert
+
+    models, feed = str(tmp_path / "models"), str(tmp_path / "feed")
+    trained.save(spark, models)
+    files.write_csv(files.to_file_names(flows.select("src_ip", *K.FEATURES, "label")), feed)
+    score.main(["--input", feed, "--models", models, "--dry-run", "--csv", str(tmp_path / "predictions")])
+    assert f"out of {flows.count()} flows" in capsys.readouterr().out
+    assert spark.read.option("header", True).csv(str(tmp_path / "predictions")).count() == flows.count()
+    with pytest.raises(SystemExit):
+        score.main(["--input", feed, "--models", models])
+    (tmp_path / "scans").mkdir()
+    (tmp_path / "scans" / "a.xml").write_text(
+        '<nmaprun args="-sS"><host><address addr="10.0.0.2" addrtype="ipv4"/><ports><port protocol="tcp" portid="22">'
+        '<state state="open"/></port></ports></host></nmaprun>'
+    )
+    convert.main(["--scans-dir", str(tmp_path / "scans"), "--output", str(tmp_path / "rows")])
+    assert "1 feature rows" in capsys.readouterr().out
+
+
 def test_row_keys_are_unique_and_stable(spark):
     df = spark.createDataFrame([(1.0,)] * 500, "a double").repartition(3)
     keyed = files.with_row_key(df)
