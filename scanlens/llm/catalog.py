@@ -5,20 +5,52 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from scanlens.llm import pieces
+from scanlens.llm import decontaminate, pieces, shards, urlrules
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words, benchmark hits and items of every document."""
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("hit_spans")
+
+
+#: Host, path and verdict of the rules that the registered query applies.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict of the longest fitting rule for every page."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urlrules.judge_urls(table(spark, folder, "pages"), rules)
+
+
+def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Sixteen shards of near-equal bytes over all documents."""
+    return shards.shard_documents(table(spark, folder, "documents"))
+
+
 def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Encode every document with the 32,000-piece model and an end id, and decode it again."""
     return pieces.encoding_digests(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 LLM_QUERIES = {
+    "op2_decontamination": op2_decontamination,
+    "op8_url_filters": op8_url_filters,
+    "op9_sharding": op9_sharding,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
-LLM_ORACLES: dict[str, str] = {}
+LLM_ORACLES: dict[str, str] = {
+    "op2_decontamination": decontaminate.CONTAMINATION_SQL,
+    "op8_url_filters": urlrules.JUDGE_SQL,
+}
