@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from scanlens.llm import decontaminate, pieces, shards, urlrules
+from scanlens.llm import decontaminate, fingerprints, pieces, shards, urlrules
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,6 +17,11 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("hit_spans")
 
 
+def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Order MinHash of every document, its edited text and the next document."""
+    return fingerprints.edited_likeness(table(spark, folder, "documents"))
+
+
 #: Host, path and verdict of the rules that the registered query applies.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -45,6 +50,7 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op2_decontamination": op2_decontamination,
+    "op7_fingerprints": op7_fingerprints,
     "op8_url_filters": op8_url_filters,
     "op9_sharding": op9_sharding,
     "op10_sentencepiece": op10_sentencepiece,
