@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from scanlens.llm import decontaminate, fingerprints, pieces, shards, urlrules
+from scanlens.llm import decontaminate, fingerprints, language, pieces, quality, shards, spans, urlrules
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,6 +18,24 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("hit_spans")
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the sentences of passages that an earlier place holds."""
+    found = spans.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_sentences", "n_removed", F.col("kept_text").alias("text"))
+
+
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document, learned from labels that are not held out."""
+    docs = table(spark, folder, "documents")
+    return quality.score_documents(docs, quality.fit(docs, table(spark, folder, "labels")))
+
+
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document from its text, its declared language and its source."""
+    docs = table(spark, folder, "documents")
+    return language.identify(docs, ["doc_id"], declared=F.col("lang"), host=F.col("source"))
+
+
 def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Order MinHash of every document, its edited text and the next document."""
     return fingerprints.edited_likeness(table(spark, folder, "documents"))
@@ -50,6 +69,9 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op2_decontamination": op2_decontamination,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op5_quality": op5_quality,
+    "op6_language_id": op6_language_id,
     "op7_fingerprints": op7_fingerprints,
     "op8_url_filters": op8_url_filters,
     "op9_sharding": op9_sharding,
