@@ -1,7 +1,7 @@
 """Quality classifier: hashed word n-grams, logistic regression by follow-the-regularised-leader.
 
-Shards of a bounded sample of labelled rows are trained in parallel, starting from the
-mean of the last round, and averaged.  A score is a sparse dot product.
+Shards of a bounded sample of labelled rows are trained in parallel; after every pass
+their states are averaged, and the next pass starts from the mean.  A score is a sparse dot product.
 """
 
 from __future__ import annotations
@@ -21,10 +21,11 @@ from scanlens.session import written
 #: Weights; n-grams are hashed to them.  Weight 0 is the bias.
 WEIGHTS = 1 << 18
 #: Labelled rows that training draws, about (by hash).
-FIT_ROWS = 30_000
-SHARDS, ROUNDS = 16, 4
+FIT_ROWS = 20_000
+#: Rows of one training shard, about, and passes with an exchange of the state after each.
+SHARD_ROWS, ROUNDS = 4_000, 4
 #: Step size, smoothing, L1 and L2 strength of the updates.
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.05, 0.2
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.3, 0.1
 #: A document is predicted good from this score on.
 GOOD = 0.7
 #: Tokens: words as written, and runs of other marks.
@@ -40,19 +41,23 @@ class _Hashes(dict):
         return h
 
 
-def features(text: str, hashes: dict[str, int]) -> np.ndarray:
-    """Distinct hashed n-grams: words, pairs, and the shape of a pair (same word again, marks, capitals)."""
+def features(text: str, hashes: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed n-grams and their values: words, pairs, and shapes of pairs (same word again, marks, capitals).
+
+    Values are square roots of counts, scaled to length 1; the bias has value 1.
+    """
     found = TOKEN.findall(text)
     if not found:
-        return np.zeros(1, np.int64)
+        return np.zeros(1, np.int64), np.ones(1)
     t = np.fromiter(map(hashes.__getitem__, found), np.int64, len(found)).view(np.uint64)
     pair = t[:-1] * np.uint64(0x9E3779B97F4A7C15) + t[1:]
-    same = np.where(t[:-1] == t[1:], np.uint64(0x1234567), np.uint64(0x7654321))[: max(0, len(t) - 1)]
+    same = np.where(t[:-1] == t[1:], np.uint64(0x1234567), np.uint64(0x7654321))
     shape = _shape(found)
     both = shape[:-1] * np.uint64(31) + shape[1:] + np.uint64(0xABCDEF)
     h = np.concatenate([t, pair, same, both])
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return np.unique(np.append((h >> np.uint64(46)).astype(np.int64) | 1, 0))
+    x, n = np.unique((h >> np.uint64(46)).astype(np.int64) | 1, return_counts=True)
+    return np.append(x, 0), np.append(np.sqrt(n / n.sum()), 1.0)
 
 
 def _shape(found: list[str]) -> np.ndarray:
@@ -65,29 +70,29 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _train(rows: list[tuple[np.ndarray, float]], start: np.ndarray) -> np.ndarray:
-    """One pass of follow-the-regularised-leader from given weights."""
-    z = -start * (BETA / ALPHA + L2)
-    z -= np.sign(start) * L1
-    n = np.zeros(len(start))
-    for x, y in rows:
+def _weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return np.where(np.abs(z) <= L1, 0.0, (np.sign(z) * L1 - z) / ((BETA + np.sqrt(n)) / ALPHA + L2))
+
+
+def _train(rows: list[tuple[np.ndarray, np.ndarray, float]], z: np.ndarray, n: np.ndarray) -> None:
+    """One pass of follow-the-regularised-leader over ``(features, values, label)``; changes the state ``z, n``."""
+    for x, v, y in rows:
         zx, nx = z[x], n[x]
-        w = np.where(np.abs(zx) <= L1, 0.0, (np.sign(zx) * L1 - zx) / ((BETA + np.sqrt(nx)) / ALPHA + L2))
-        v = 1 / np.sqrt(len(x))
-        p = 1 / (1 + np.exp(-np.clip(w.sum() * v, -35, 35)))
+        w = _weights(zx, nx)
+        p = 1 / (1 + np.exp(-np.clip(w @ v, -35, 35)))
         g = (p - y) * v
         s = (np.sqrt(nx + g * g) - np.sqrt(nx)) / ALPHA
         z[x] += g - s * w
         n[x] += g * g
-    return np.where(np.abs(z) <= L1, 0.0, (np.sign(z) * L1 - z) / ((BETA + np.sqrt(n)) / ALPHA + L2))
 
 
 def _learner(held):
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("order")
-        w = _train(list(zip(map(np.asarray, pdf["x"]), pdf["y"], strict=True)), held.value)
-        used = np.flatnonzero(w)
-        return pd.DataFrame({"i": used, "w": w[used]})
+        z, n = (x.copy() for x in held.value)
+        _train(list(zip(map(np.asarray, pdf["x"]), map(np.asarray, pdf["v"]), pdf["y"], strict=True)), z, n)
+        used = np.flatnonzero(n)
+        return pd.DataFrame({"i": used, "z": z[used], "n": n[used]})
 
     return learn
 
@@ -109,23 +114,26 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for b in batches:
-            x = [features(t or "", hashes) for t in b.column("__text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.int32())), b.column("__y"), b.column("order")], names=["x", "y", "order"])
+            x, v = zip(*(features(t or "", hashes) for t in b.column("__text").to_pylist()), strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.int32())), pa.array(v, pa.list_(pa.float32())), b.column("__y"), b.column("order")], names=["x", "v", "y", "order"])
 
     order = F.xxhash64(F.lit(9), F.col(key))
-    made = written(known.withColumn("order", order).mapInArrow(extract, "x array<int>, y double, order long").withColumn("shard", F.pmod("order", F.lit(SHARDS)).cast("int")), "features")
-    weights = np.zeros(WEIGHTS)
+    made = written(known.withColumn("order", order).mapInArrow(extract, "x array<int>, v array<float>, y double, order long"), "features")
+    shards = max(1, round(made.count() / SHARD_ROWS))
+    made = made.withColumn("shard", F.pmod("order", F.lit(shards)))
+    z, n = np.zeros(WEIGHTS), np.zeros(WEIGHTS)
     for _ in range(ROUNDS):
-        learner = _learner(spark.sparkContext.broadcast(weights))
-        mean = made.groupBy("shard").applyInPandas(learner, "i int, w double").groupBy("i").agg((F.sum("w") / SHARDS).alias("w")).toPandas()
-        weights = np.zeros(WEIGHTS)
-        weights[mean["i"].to_numpy()] = mean["w"].to_numpy()
-    return weights
+        learner = _learner(spark.sparkContext.broadcast((z, n)))
+        state = made.groupBy("shard").applyInPandas(learner, "i int, z double, n double")
+        mean = state.groupBy("i").agg(*((F.sum(c) / shards).alias(c) for c in ("z", "n"))).toPandas()
+        z, n = np.zeros(WEIGHTS), np.zeros(WEIGHTS)
+        z[mean["i"].to_numpy()], n[mean["i"].to_numpy()] = mean["z"].to_numpy(), mean["n"].to_numpy()
+    return _weights(z, n)
 
 
 def score_documents(docs: DataFrame, weights: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: key, held_out, score, predicted.  A null text is scored as the empty one."""
-    held = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
+    held = docs.sparkSession.sparkContext.broadcast(weights)
     docs = docs.select(key, text, held_out(F.col(key)).alias("held_out"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,5 +147,5 @@ def score_documents(docs: DataFrame, weights: np.ndarray, key: str = "doc_id", t
     return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
 
 
-def _dot(x: np.ndarray, weights: np.ndarray) -> float:
-    return float(weights[x].sum(dtype=np.float64) / np.sqrt(len(x)))
+def _dot(sparse: tuple[np.ndarray, np.ndarray], weights: np.ndarray) -> float:
+    return float(weights[sparse[0]] @ sparse[1])
