@@ -6,13 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanlens.llm import decontaminate, fingerprints, language, pieces, quality, shards, spans, urlrules
+from scanlens.llm import decontaminate, fingerprints, language, pieces, quality, shards, spans, urlrules, wrapper
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return wrapper.main_texts(table(spark, folder, "pages"))
+
+
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words, benchmark hits and items of every document."""
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("hit_spans")
@@ -68,6 +73,7 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_decontamination": op2_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_quality": op5_quality,
