@@ -111,7 +111,7 @@ def _merged(text: str, windows: Windows, spans: list, items: list) -> tuple[int,
     n, runs, found = windows.scan(text)
     if not runs and not spans:
         return n, 0, [], []
-    at = [m.span() for m in WORD.finditer(text)]
+    at = [m.span() for m in WORD.finditer(text.translate(LOWER))]
     hit = {i for a, b in runs for i in range(a, b)}
     for s in spans:
         hit |= {i for i, (a, b) in enumerate(at) if a >= s["start"] and b <= s["end"]}
