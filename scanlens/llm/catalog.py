@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanlens.llm import decontaminate, fingerprints, language, pieces, quality, shards, spans, urlrules, wrapper
+from scanlens.llm import decontaminate, fingerprints, language, pieces, quality, setjoin, shards, spans, urlrules, wrapper
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("hit_spans")
 
 
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents linked by shingle similarity."""
+    return setjoin.link_groups(table(spark, folder, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the sentences of passages that an earlier place holds."""
     found = spans.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
@@ -75,6 +80,7 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 LLM_QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_decontamination": op2_decontamination,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_quality": op5_quality,
     "op6_language_id": op6_language_id,
@@ -86,5 +92,6 @@ LLM_QUERIES = {
 
 LLM_ORACLES: dict[str, str] = {
     "op2_decontamination": decontaminate.CONTAMINATION_SQL,
+    "op3_jaccard_join": setjoin.LINKS_SQL,
     "op8_url_filters": urlrules.JUDGE_SQL,
 }
