@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,6 +89,7 @@ LLM_QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_sharding": op9_sharding,
     "op10_sentencepiece": op10_sentencepiece,
+    "pipeline": corpus_pipeline.run,
 }
 
 LLM_ORACLES: dict[str, str] = {
