@@ -152,8 +152,11 @@ def _neighbourly(docs: DataFrame, key: str, text: str) -> DataFrame:
     cuts = rows.select(F.percentile_approx("rank", shares, max(10_000, 20 * n))).first()[0] if shares else []
     bounds = [float("-inf"), *sorted({float(c) for c in cuts or []}), float("inf")]
     ranges = len(bounds) - 1
-    part = Bucketizer(splits=bounds, inputCol="place", outputCol="bucket").transform(rows.withColumn("place", F.col("rank").cast("double")))
-    part = part.withColumn("part", (F.lit(ranges - 1) - F.col("bucket")).cast("int")).drop("place", "bucket")
+    if ranges > 1:
+        rows = Bucketizer(splits=bounds, inputCol="place", outputCol="bucket").transform(rows.withColumn("place", F.col("rank").cast("double")))
+    else:
+        rows = rows.withColumn("bucket", F.lit(0))
+    part = rows.select("key", "text", "rank", "tie", (F.lit(ranges - 1) - F.col("bucket")).cast("int").alias("part"))
     heads = part.groupBy("part").agg(F.max(F.struct(F.col("rank"), F.bitwise_not("tie").alias("tie"))).alias("h")).orderBy("part").collect()
     before = [(r.h.rank, ~r.h.tie, heads[i - 1].part) for i, r in enumerate(heads)]  # the first row of all ends the last range
     ends = spark.createDataFrame(before, "rank long, tie long, before int")

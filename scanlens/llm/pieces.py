@@ -114,7 +114,7 @@ class Encoder:
         at: list[int] = []
         raw, start = text.encode(), 0
         plain = not self.charmap.units
-        spaced = self.trim
+        spaced, begun = self.trim, False
         while start < len(raw):
             hit = None if plain else self.charmap.longest(raw, start)
             if hit is None:
@@ -123,6 +123,11 @@ class Encoder:
                 piece = raw[start : start + n].decode()
             else:
                 piece, n = hit[0].decode(), hit[1]
+            if not begun and not (self.trim and piece == " "):
+                begun = True
+                if self.prefix:
+                    out.append(SPACE)
+                    at.append(start)
             if spaced:
                 piece = piece.lstrip(" ")
             for c in piece:
@@ -135,9 +140,6 @@ class Encoder:
         while self.trim and out and out[-1] == SPACE:
             out.pop()
             end = at.pop()
-        if self.prefix and out:
-            out.insert(0, SPACE)
-            at.insert(0, at[0])
         return "".join(out), [*at, end]
 
     def normalised(self, text: str) -> str:
@@ -235,14 +237,25 @@ class Encoder:
         found = [self.known[c] for c in self.chunks.findall(self.normalised(text))]
         n, ids, back = zip(*found, strict=True) if found else ((), (), ())
         coded = f"{''.join(ids)} {self.end}"[1:]
-        plain = "".join(back)
-        plain = plain[1:] if plain[:1] == " " and (self.prefix or self.trim) else plain
+        if self.trim:
+            plain = self.decode([int(i) for i in coded.split()])
+        else:
+            plain = "".join(back)
+            plain = plain[1:] if plain[:1] == " " and self.prefix else plain
         return sum(n) + 1, hashlib.sha256(coded.encode()).hexdigest(), hashlib.sha256(plain.encode()).hexdigest()
 
     def decode(self, ids: list[int]) -> str:
-        """Text of a row of ids; control ids are silent, the added leading blank goes."""
-        out = self._surface(ids)
-        return out[1:] if out[:1] == " " and (self.prefix or self.trim) else out
+        """Text of a row of ids; control ids are silent, added leading blanks go."""
+        parts = [self.surface.get(i, b"") for i in ids]
+        if self.prefix or self.trim:
+            for k, part in enumerate(parts):
+                if part[:1] == b" ":
+                    parts[k] = part[1:]
+                    if not self.trim:  # one blank only
+                        break
+                if parts[k]:
+                    break
+        return b"".join(parts).decode("utf-8", "replace")
 
 
 def _encoder(spark: SparkSession, model: str):
