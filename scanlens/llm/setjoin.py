@@ -29,8 +29,8 @@ from scanlens.session import written
 WORDS = 5
 #: Two sets link if ``100 * overlap >= PERCENT * union``.
 PERCENT = 80
-#: Bits of a signature.
-BITS = 1024
+#: Bits of a signature: the power of two not below the set size, within these limits.
+LEAST_BITS, MOST_BITS = 64, 1 << 16
 #: Smallest shingles of a node that look for a pivot, and how many must find the same one.
 PIVOTS, AGREE = 8, 3
 #: Shingles in more nodes than this are put last in the order of the prefix filter.
@@ -74,10 +74,15 @@ def shingles(text: str, hashes: dict[bytes, int]) -> np.ndarray:
     return np.unique(h ^ (h >> np.uint64(33)))
 
 
+def width(n: int) -> int:
+    return min(MOST_BITS, max(LEAST_BITS, 1 << max(0, n - 1).bit_length()))
+
+
 def bitmap(tokens: np.ndarray) -> bytes:
-    bits = np.zeros(BITS, bool)
-    bits[(tokens & np.uint64(BITS - 1)).astype(np.int64)] = True
-    return np.packbits(bits).tobytes()
+    """One bit for each token, lowest bit first; the halves of a bitmap can be folded onto each other."""
+    bits = np.zeros(width(len(tokens)), bool)
+    bits[(tokens & np.uint64(len(bits) - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -99,11 +104,14 @@ class Tree:
         self.bits, self.least, self.most, self.spare, self.group, self.below, self.entry = bits, least, most, spare, group, below, entry
 
 
-def plant(rows: list[tuple[int, int, int, bytes]]) -> Tree:
-    """Tree of ``(node, group, size, bitmap)`` rows; neighbours are near in group and size."""
+def plant(rows: list[tuple[int, int, int, bytes]], bits_wide: int) -> Tree:
+    """Tree of ``(node, group, size, bitmap)`` rows, bitmaps folded to one width; neighbours are near in size."""
     level = []
     for node, group, n, sig in sorted(rows, key=lambda r: (r[2], r[1], r[0])):
-        bits = int.from_bytes(sig)
+        bits, wide = int.from_bytes(sig, "little"), 8 * len(sig)
+        while wide > bits_wide:
+            wide //= 2
+            bits = bits >> wide | bits & ((1 << wide) - 1)
         level.append(Tree(bits, n, n, n - bits.bit_count(), group, [], node))
     while len(level) > 1:
         above = []
@@ -149,6 +157,34 @@ def traverse(a: Tree, b: Tree) -> Iterator[tuple[int, int]]:
             stack += product(x.below or [x], y.below or [y])
 
 
+def pairs_of(left: list[tuple[int, int, int, bytes]], right: list[tuple[int, int, int, bytes]] | None = None) -> Iterator[tuple[int, int]]:
+    """Pairs of rows of one list, or of two, that trees do not rule out.
+
+    Rows of one bitmap width share a tree.  Linked sets differ by a quarter in size at
+    most, so trees of other widths meet only if one is twice the other.
+    """
+    sides = [_by_width(rows) for rows in ([left] if right is None else [left, right])]
+    for wide, rows in sides[0].items():
+        tree = plant(rows, wide)
+        if right is None:
+            yield from traverse(tree, tree)
+            if 2 * wide in sides[0]:
+                yield from traverse(tree, plant(sides[0][2 * wide], wide))
+        else:
+            for other, more in sides[1].items():
+                if other in (wide, 2 * wide):
+                    yield from traverse(tree, plant(more, wide))
+                elif 2 * other == wide:
+                    yield from traverse(plant(rows, other), plant(more, other))
+
+
+def _by_width(rows: list[tuple[int, int, int, bytes]]) -> dict[int, list]:
+    found: dict[int, list] = {}
+    for r in rows:
+        found.setdefault(8 * len(r[3]), []).append(r)
+    return found
+
+
 def _batch(columns: dict[str, tuple[list | np.ndarray, pa.DataType]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in columns.values()], names=list(columns))
 
@@ -183,38 +219,37 @@ def _pivot_pairs(nodes: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs whose sets link, compared exactly.
 
-    Every pair fetches its two texts (a lookup with a checked broadcast of the narrow
-    pairs), and the halves meet by pair, so no pivot is a hot key of that exchange.
+    The text of ``a`` travels once for each pair, the text of ``b`` once; a pivot with
+    very many pairs is a crowded partition of a plain join, which the engine splits.
     """
     pairs = written(pairs.distinct(), "pairs")
-    left = _fetched(reps, pairs, "a").withColumnRenamed("text", "left")
-    right = _fetched(reps, pairs, "b").withColumnRenamed("text", "right")
+    left = attach(reps.withColumnRenamed("node", "a"), pairs, ["a"], "inner").select("a", "b", F.col("text").alias("left"))
+    wanted = written(pairs.select("b").distinct(), "pivots")
+    right = attach(reps.withColumnRenamed("node", "b"), wanted, ["b"], "inner").select("b", F.col("text").alias("right"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for b in batches:
-            keep = [similar(shingles(x, hashes), shingles(y, hashes)) for x, y in zip(b.column("left").to_pylist(), b.column("right").to_pylist(), strict=True)]
+            keep, last, pivot = [], None, None
+            for k, x, y in zip(b.column("b").to_pylist(), b.column("left").to_pylist(), b.column("right").to_pylist(), strict=True):
+                if k != last:
+                    last, pivot = k, shingles(y, hashes)
+                keep.append(similar(shingles(x, hashes), pivot))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return left.join(right, ["a", "b"]).select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
-
-
-def _fetched(reps: DataFrame, pairs: DataFrame, side: str) -> DataFrame:
-    keyed = pairs.withColumn("node", F.col(side))
-    return attach(reps, keyed, ["node"], "inner").select("a", "b", "text")
+    return left.join(right, "b").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
 def _lowest(reps: DataFrame) -> DataFrame:
-    """``(token, group)`` for the lowest three tenths of each node's shingles, repeats within a batch left out."""
+    """``token`` for the lowest quarter of each node's shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for b in batches:
-            tokens = [s[: len(s) * 3 // 10 + 1] for s in (shingles(t, hashes) for t in b.column("text").to_pylist())]
-            groups = np.repeat(b.column("group").to_numpy(), [len(t) for t in tokens])
-            yield _batch({"token": (np.concatenate(tokens).view(np.int64), pa.int64()), "group": (groups, pa.int64())})
+            tokens = [s[: len(s) // 4 + 1] for s in (shingles(t, hashes) for t in b.column("text").to_pylist())]
+            yield _batch({"token": (np.concatenate(tokens).view(np.int64), pa.int64())})
 
-    return reps.mapInArrow(run, "token long, group long")
+    return reps.select("text").mapInArrow(run, "token long")
 
 
 def _cells(tokens: DataFrame) -> np.ndarray:
@@ -255,12 +290,12 @@ def _bucket_pairs(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 
     Buckets inside one group need no comparison.  Buckets with the same members are one.
     """
-    member = F.xxhash64("node")
-    tokens = rows.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi"), F.count("*").alias("c"), F.bit_xor(member).alias("x"), F.bit_xor(F.xxhash64(F.lit(3), "node")).alias("y"))
-    buckets = tokens.where("lo < hi").groupBy("x", "y", "c").agg(F.min("token").alias("token"))
+    mixed = rows.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi").select("token")
+    rows = written(attach(rows, written(mixed, "mixed"), ["token"], "inner"), "members")
+    tokens = rows.groupBy("token").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(3), "node")).alias("y"))
+    buckets = tokens.groupBy("x", "y", "c").agg(F.min("token").alias("token"))
     buckets = written(buckets.select("token", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")), "buckets")
-    narrow = nodes.select("node", "n", "sig")
-    met = attach(rows, buckets, ["token"], "inner").join(narrow, "node")
+    met = attach(rows, buckets, ["token"], "inner").join(nodes.select("node", "n", "sig"), "node")
     own = F.pmod(F.xxhash64(F.lit(11), "node"), F.col("blocks")).cast("int")
     met = met.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
@@ -287,10 +322,9 @@ def _pairs(bucket: tuple[int, int, int] | None, held: list[tuple[int, list]]) ->
         return []
     _, i, j = bucket
     if i == j:
-        tree = plant([tuple(r) for _, r in held])
-        return list(traverse(tree, tree))
+        return list(pairs_of([tuple(r) for _, r in held]))
     left, right = ([tuple(r) for own, r in held if own == k] for k in (i, j))
-    return list(traverse(plant(left), plant(right))) if left and right else []
+    return list(pairs_of(left, right)) if left and right else []
 
 
 def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -318,7 +352,7 @@ def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     near = written(_verified(_pivot_pairs(nodes), reps), "links")
     found = written(components(spark, near).select("node", F.col("comp").alias("group")), "groups")
     grouped = attach(reps, found, ["node"]).withColumn("group", F.coalesce("group", "node"))
-    often = _lowest(grouped).groupBy("token").agg(F.count("*").alias("c"), F.min("group").alias("lo"), F.max("group").alias("hi")).where(f"c > {CROWDED} and lo < hi")
+    often = _lowest(reps).groupBy("token").count().where(f"count > {CROWDED}")
     rows = written(_prefixes(grouped, _cells(often)), "prefixes")
     more = written(_verified(_bucket_pairs(rows, nodes), reps), "links")
 

@@ -60,12 +60,11 @@ def test_trees_lose_no_link():
     rows = [(i, i, len(s), j.bitmap(s)) for i, s in enumerate(sets)]
     draw.shuffle(rows)
     want = {(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if j.similar(sets[a], sets[b])}
-    tree = j.plant(rows)
-    found = list(j.traverse(tree, tree))
-    assert len(found) == len(set(found)) and want <= set(found)
-    half = j.plant(rows[:50]), j.plant(rows[50:])
-    across = {p for p in want if (p[0] in {r[0] for r in rows[:50]}) != (p[1] in {r[0] for r in rows[:50]})}
-    assert across <= set(j.traverse(*half)) and len(found) < len(sets) * (len(sets) - 1) / 2
+    found = list(j.pairs_of(rows))
+    assert len(found) == len(set(found)) and want <= set(found) and len(found) < len(sets) * (len(sets) - 1) / 2
+    first = {r[0] for r in rows[:50]}
+    across = {p for p in want if (p[0] in first) != (p[1] in first)}
+    assert across <= set(j.pairs_of(rows[:50], rows[50:]))
 
 
 def test_odd_rows(spark, odd, none, clashing):
