@@ -307,12 +307,15 @@ def scan_sessions(spark, folder):
     return found.drop("session")
 
 
-@query(
-    "dedup_alerts",
-    f"""WITH {FLOWS_SQL}, a AS (SELECT src_ip, dst_port, CASE event_type WHEN 'error' THEN 'BLOCK' ELSE 'ALERT' END AS action,
+DEDUP_SQL = f"""WITH {FLOWS_SQL}, a AS (SELECT src_ip, dst_port, CASE event_type WHEN 'error' THEN 'BLOCK' ELSE 'ALERT' END AS action,
       event_id, ts, CAST(floor(epoch(ts) / 600) AS BIGINT) AS slot FROM flows WHERE event_type IN ('error', 'signup'))
     SELECT src_ip, dst_port, action, slot, arg_min(event_id, ts) AS event_id, CAST(count(*) AS BIGINT) AS repeats
-    FROM a GROUP BY src_ip, dst_port, action, slot""",
+    FROM a GROUP BY src_ip, dst_port, action, slot"""
+
+
+@query(
+    "dedup_alerts",
+    DEDUP_SQL,
 )
 def dedup_alerts(spark, folder):
     alerts = (
@@ -320,7 +323,7 @@ def dedup_alerts(spark, folder):
         .where(F.col("event_type").isin("error", "signup"))
         .withColumn("action", F.when(F.col("event_type") == "error", "BLOCK").otherwise("ALERT"))
     )
-    return windows.first_per_slot(alerts, ["src_ip", "dst_port", "action"], 600).drop("ts")
+    return windows.first_per_slot(alerts, ["src_ip", "dst_port", "action"], K.REPEAT_SECONDS).drop("ts")
 
 
 @query(

@@ -172,9 +172,9 @@ def verdict_actions(spark, folder):
     "severity_vote",
     f"""WITH {FLOWS_SQL}, v AS (SELECT flow_id, CAST(score_a >= 0.5 AS INTEGER) + CAST(score_b >= 0.5 AS INTEGER) + CAST(score_c >= 0.5 AS INTEGER) AS votes,
       (score_a + score_b + score_c) / 3 AS confidence FROM flows),
-    g AS (SELECT *, CASE WHEN confidence > 0.95 AND votes >= 3 THEN 'HIGH' WHEN confidence >= 0.85 AND votes >= 2 THEN 'MEDIUM' ELSE 'LOW' END AS severity FROM v)
-    SELECT flow_id, votes, round(confidence, 6) AS confidence, severity, severity = 'LOW' AS redirect,
-    severity IN ('MEDIUM', 'HIGH') AS blacklist, severity = 'HIGH' AS mutate_port FROM g""",
+    g AS (SELECT *, CASE WHEN votes = 0 THEN NULL WHEN confidence > 0.95 AND votes >= 3 THEN 'HIGH' WHEN confidence >= 0.85 AND votes >= 2 THEN 'MEDIUM' ELSE 'LOW' END AS severity FROM v)
+    SELECT flow_id, votes, round(confidence, 6) AS confidence, severity, severity IS NOT NULL AS redirect,
+    coalesce(severity IN ('MEDIUM', 'HIGH'), false) AS blacklist, coalesce(severity = 'HIGH', false) AS mutate_port FROM g""",
 )
 def severity_vote(spark, folder):
     graded = verdicts.with_severity(flows(spark, folder), ["score_a", "score_b", "score_c"])

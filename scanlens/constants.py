@@ -40,6 +40,7 @@ THREAT_WINDOW_SECONDS = 300
 ROTATION_SECONDS = 30
 SESSION_GAP_SECONDS = 300
 WATERMARK = "10 minutes"
+REPEAT_SECONDS = 600
 SEED = 42
 TEST_SHARE = 0.2
 CV_FOLDS = 10

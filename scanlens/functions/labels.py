@@ -58,9 +58,10 @@ def vote_count(scores: list[Column], threshold: float = 0.5) -> Column:
 
 
 def severity(confidence: Column, votes: Column, models: int) -> Column:
-    """LOW below .85; MEDIUM from .85 with two models; HIGH above .95 with all of them."""
+    """LOW below .85; MEDIUM from .85 with two models; HIGH above .95 with all of them; NULL without a vote."""
     return (
-        F.when((confidence > 0.95) & (votes >= models), "HIGH")
+        F.when(votes == 0, F.lit(None).cast("string"))
+        .when((confidence > 0.95) & (votes >= models), "HIGH")
         .when((confidence >= K.BLOCK_THRESHOLD) & (votes >= 2), "MEDIUM")
         .otherwise("LOW")
     )

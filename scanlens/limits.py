@@ -9,6 +9,8 @@ an equivalent plan that splits the work further.
 IN_MEMORY_ROWS = 1_000_000
 # Rows of a lookup table that may be broadcast (counted before the hint is given).
 BROADCAST_ROWS = 1_000_000
+# Bytes of a lookup table that may be broadcast (measured before the hint is given).
+BROADCAST_BYTES = 64 << 20
 # Rows of one join key beyond which the key is treated as hot.
 HOT_KEY_ROWS = 5_000_000
 # Rows that may be read back to the driver (parameters, cut-offs, tree nodes).

@@ -74,8 +74,9 @@ def mark_smallest_hashes(
     reached = F.sum("_n").over(
         Window.partitionBy(stratum).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     )
+    targets = _attached(counts, stratum, numbers.items(), "_target bigint")
     cut_buckets = (
-        counts.withColumns({"_reached": reached, "_target": _by_stratum(stratum, numbers, "bigint")})
+        targets.withColumn("_reached", reached)
         .where((F.col("_reached") >= F.col("_target")) & (F.col("_reached") - F.col("_n") < F.col("_target")))
         .select(stratum, "_bucket", (F.col("_target") - F.col("_reached") + F.col("_n")).alias("take"))
         .collect()  # one row per stratum
@@ -84,26 +85,27 @@ def mark_smallest_hashes(
     if not cut_buckets:
         return df.withColumn(flag, F.lit(False))
     position = F.row_number().over(Window.partitionBy(stratum).orderBy("_hash", key))
+    cuts = ((r[stratum], r["_bucket"], r["take"]) for r in cut_buckets)
     last_rows = (
-        keyed.where(F.col("_bucket") == _by_stratum(stratum, {r[stratum]: r["_bucket"] for r in cut_buckets}, "string"))
+        _attached(keyed, stratum, cuts, "_cut_bucket string, _take bigint")
+        .where(F.col("_bucket") == F.col("_cut_bucket"))
         .withColumn("_position", position)
-        .where(F.col("_position") == _by_stratum(stratum, {r[stratum]: r["take"] for r in cut_buckets}, "bigint"))
+        .where(F.col("_position") == F.col("_take"))
         .select(stratum, "_hash", F.col(key).cast("string").alias("_key"))
         .collect()  # one row per stratum
     )
-    last_hash = _by_stratum(stratum, {r[stratum]: r["_hash"] for r in last_rows}, "string")
-    last_key = _by_stratum(stratum, {r[stratum]: r["_key"] for r in last_rows}, "string")
-    last_key = last_key.cast(df.schema[key].dataType)
-    chosen = (digest < last_hash) | ((digest == last_hash) & (F.col(key) <= last_key))
-    return df.withColumn(flag, F.coalesce(chosen, F.lit(False)))
+    lasts = ((r[stratum], r["_hash"], r["_key"]) for r in last_rows)
+    marked = _attached(df, stratum, lasts, "_last_hash string, _last_key string")
+    last_key = F.col("_last_key").cast(df.schema[key].dataType)
+    chosen = (digest < F.col("_last_hash")) | ((digest == F.col("_last_hash")) & (F.col(key) <= last_key))
+    return marked.withColumn(flag, F.coalesce(chosen, F.lit(False))).drop("_last_hash", "_last_key")
 
 
-def _by_stratum(stratum: str, values: dict, kind: str) -> Column:
-    chosen = F.lit(None)
-    for name, value in values.items():
-        matches = F.col(stratum).isNull() if name is None else F.col(stratum) == F.lit(name)
-        chosen = F.when(matches, F.lit(value)).otherwise(chosen)
-    return chosen.cast(kind)
+def _attached(df: DataFrame, stratum: str, rows, fields: str) -> DataFrame:
+    """Left join with values per stratum, a NULL stratum included; at most ``DRIVER_ROWS`` rows, so a broadcast."""
+    kind = df.schema[stratum].dataType.simpleString()
+    table = df.sparkSession.createDataFrame(list(rows), f"_stratum {kind}, {fields}")
+    return df.join(F.broadcast(table), F.col(stratum).eqNullSafe(F.col("_stratum")), "left").drop("_stratum")
 
 
 def split_points(df: DataFrame, column: str, rows: int, rows_per_bucket: int) -> list[float]:
@@ -113,7 +115,7 @@ def split_points(df: DataFrame, column: str, rows: int, rows_per_bucket: int) ->
         return []
     shares = [i / buckets for i in range(1, buckets)]
     found = df.select(column).where(F.col(column).isNotNull()).approxQuantile(column, shares, 0.2 / buckets)
-    return sorted(set(found))
+    return sorted({v for v in found if math.isfinite(v)})  # infinite values order rightly in the outer buckets
 
 
 def bucket_by_splits(df: DataFrame, column: str, splits: list[float], output: str) -> DataFrame:

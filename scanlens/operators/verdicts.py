@@ -64,7 +64,10 @@ def blocks(graded: DataFrame, at: Column) -> DataFrame:
 
 
 def with_severity(flows: DataFrame, scores: list[str]) -> DataFrame:
-    """Votes of the models, mean score as confidence, severity and the three defences."""
+    """Votes of the models, mean score as confidence, severity and the three defences.
+
+    A flow that no model flags has no severity and no defence; every severity redirects.
+    """
     columns = [F.col(s) for s in scores]
     confidence = sum(columns[1:], columns[0]) / F.lit(float(len(columns)))
     voted = flows.withColumns({"votes": L.vote_count(columns), "confidence": confidence})
@@ -72,8 +75,8 @@ def with_severity(flows: DataFrame, scores: list[str]) -> DataFrame:
     level = F.col("severity")
     return graded.withColumns(
         {
-            "redirect": level == "LOW",
-            "blacklist": level.isin("MEDIUM", "HIGH"),
-            "mutate_port": level == "HIGH",
+            "redirect": level.isNotNull(),
+            "blacklist": F.coalesce(level.isin("MEDIUM", "HIGH"), F.lit(False)),
+            "mutate_port": F.coalesce(level == "HIGH", F.lit(False)),
         }
     )

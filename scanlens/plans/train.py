@@ -6,7 +6,7 @@ python -m scanlens.plans.train --input flows.csv --output models/ [--wide]
 from __future__ import annotations
 
 import argparse
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -20,13 +20,29 @@ from scanlens.operators.preprocess import Preprocessing, apply_preprocessing, fi
 from scanlens.operators.scale import Scaler, fit_scaler
 from scanlens.operators.smote import smote
 from scanlens.operators.split import train_test_split
-from scanlens.session import build_session, written
+from scanlens.session import build_session, scratch, written
 from scanlens.sources.files import path_exists, read_flows_csv, read_names, to_short_names, with_row_key, write_names
 
 FOREST, BOOSTED, ISOLATION = "Random Forest", "Boosted Trees", "Isolation Forest"
 _FOLDERS = {FOREST: "random_forest", BOOSTED: "boosted_trees"}
 
 
+@dataclass(frozen=True)
+class Growth:
+    """How trees grow; None takes the default of the variant."""
+
+    depth: int | None = None  # of the forest; at most 30
+    bins: int | None = None
+    min_leaf_rows: int | None = None
+    trees: int | None = None
+    rounds: int | None = None
+
+
+def _growth(growth: Growth | None, rounds: int | None, forest_trees: int | None) -> Growth:
+    growth = growth or Growth()
+    return replace(growth, rounds=rounds or growth.rounds, trees=forest_trees or growth.trees)
+
+
 @dataclass
 class Trained:
     """Everything needed to score new flows, and the held-out rows."""
@@ -89,6 +105,7 @@ def train_contract(
     flows: DataFrame,
     key: str = "flow_id",
     label: str = "label",
+    growth: Growth | None = None,
     rounds: int | None = None,
     forest_trees: int | None = None,
 ) -> Trained:
@@ -101,7 +118,7 @@ def train_contract(
         return clean.add_placeholders(apply_preprocessing(rows, preprocessing), K.DEFENCE_FEATURES)
 
     train_rows, test_rows = shaped(train_rows), shaped(test_rows)
-    return _fit_all(train_rows, test_rows, list(K.MODEL_FEATURES), preprocessing, key, False, rounds, forest_trees)
+    return _fit_all(train_rows, test_rows, list(K.MODEL_FEATURES), preprocessing, key, False, _growth(growth, rounds, forest_trees))
 
 
 def train_wide(
@@ -109,6 +126,7 @@ def train_wide(
     key: str = "flow_id",
     label: str = "Label",
     source: str = "Source IP",
+    growth: Growth | None = None,
     rounds: int | None = None,
     forest_trees: int | None = None,
 ) -> Trained:
@@ -119,17 +137,25 @@ def train_wide(
     wide = engineer.inject_defence_features(engineer.engineer_features(complete, source, keep=[key, "y"]), key=key)
     features = [target for target, _ in K.WIDE_FEATURES] + K.WIDE_DEFENCE_FEATURES
     train_rows, test_rows = train_test_split(wide, "y", key=key)
-    return _fit_all(train_rows, test_rows, features, None, key, True, rounds, forest_trees)
+    return _fit_all(train_rows, test_rows, features, None, key, True, _growth(growth, rounds, forest_trees))
 
 
-def _fit_all(train_rows, test_rows, features, preprocessing, key, wide, rounds, forest_trees) -> Trained:
+def _fit_all(train_rows, test_rows, features, preprocessing, key, wide, growth: Growth) -> Trained:
     scaler = fit_scaler(train_rows, features)
     scaled = written(scaler.transform(train_rows).select(key, "y", *[F.col(f"`{f}`") for f in features]), "train")
     test = written(scaler.transform(test_rows).select(key, "y", *[F.col(f"`{f}`") for f in features]), "test")
     balanced = written(smote(scaled, features, key=key), "train-balanced")
     trained = Trained(features, preprocessing, scaler, test=test)
-    trained.models[FOREST] = trees.fit(trees.random_forest(wide=wide, trees=forest_trees), balanced, features)
-    trained.models[BOOSTED] = trees.fit(trees.boosted_trees(wide=wide, rounds=rounds), balanced, features)
+    trained.models[FOREST] = trees.fit(
+        trees.random_forest(
+            wide=wide, max_depth=growth.depth, trees=growth.trees, max_bins=growth.bins, min_leaf_rows=growth.min_leaf_rows
+        ),
+        balanced,
+        features,
+    )
+    trained.models[BOOSTED] = trees.fit(
+        trees.boosted_trees(wide=wide, rounds=growth.rounds, max_bins=growth.bins), balanced, features
+    )
     options = dict(trees=300, contamination=0.45, max_features=0.8, bootstrap=True) if wide else {}
     trained.isolation = fit_isolation_forest(scaled.where("y = 0"), features, key=key, **options)
     trained.metrics = compare_models(trained, test)
@@ -156,16 +182,24 @@ def compare_models(trained: Trained, test: DataFrame) -> DataFrame:
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Train the three models on a labelled flow file")
-    parser.add_argument("--input", required=True, nargs="+", help="flow files, or folders of them, with one header")
+    parser.add_argument("--input", required=True, nargs="+", help="flow files, or folders of them")
     parser.add_argument("--output", required=True, help="folder for parameters, models, metrics and test rows")
     parser.add_argument("--wide", action="store_true", help="46 engineered and 2 synthetic features")
+    parser.add_argument("--depth", type=int, help="depth of the forest's trees (12; at most 30)")
+    parser.add_argument("--bins", type=int, help="split candidates per feature (128)")
+    parser.add_argument("--min-leaf-rows", type=int, help="rows a leaf of the forest has at least")
+    parser.add_argument("--trees", type=int, help="trees of the forest (100; wide 300)")
+    parser.add_argument("--rounds", type=int, help="boosting rounds (100; wide 300)")
     options = parser.parse_args(arguments)
+    growth = Growth(options.depth, options.bins, options.min_leaf_rows, options.trees, options.rounds)
     spark = build_session("scanlens-train")
-    raw = with_row_key(read_flows_csv(spark, options.input))
-    trained = train_wide(raw) if options.wide else train_contract(to_short_names(raw))
-    trained.save(spark, options.output)
-    trained.metrics.show(truncate=False)
-    best = evaluate.best_supervised(trained.metrics).first()["best_model"]
+    with scratch(spark):
+        # keys follow from the content, so a second run splits, samples and trains alike
+        raw = written(with_row_key(read_flows_csv(spark, options.input)), "raw")
+        trained = train_wide(raw, growth=growth) if options.wide else train_contract(to_short_names(raw), growth=growth)
+        trained.save(spark, options.output)
+        trained.metrics.show(truncate=False)
+        best = evaluate.best_supervised(trained.metrics).first()["best_model"]
     print(f"best supervised model: {best}")
 
 

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import io
+import os
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,7 +31,36 @@ def build_session(app_name: str = "scanlens", master: str | None = None, **conf:
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    return ship(builder.getOrCreate())
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Give the workers this package, once per application; a local session has it on its path.
+
+    The archive is served to the executors by Spark, so they need no shared folder for it.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return spark
+    _shipped.add(context.applicationId)
+    here = os.path.dirname(os.path.abspath(__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(here)))
+    own = tempfile.TemporaryDirectory(prefix="scanlens-ship-")  # the driver's; Spark serves the file to the end
+    target = os.path.join(own.name, "scanlens.zip")
+    with open(target, "wb") as out:
+        out.write(packed.getvalue())
+    context.addPyFile(target)
+    atexit.register(own.cleanup)
+    return spark
+
+
+_shipped: set[str] = set()
 
 
 def pin_utc(spark: SparkSession) -> SparkSession:
@@ -52,7 +87,27 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         if not _local_root:
             _local_root.append(tempfile.mkdtemp(prefix="scanlens-"))
         root = _local_root[0]
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    for owned in _owners:
+        owned.append(path)
+    return path
+
+
+_owners: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Drop the scratch tables made inside the block when it ends; what it returns must be written elsewhere."""
+    mine: list[str] = []
+    _owners.append(mine)
+    try:
+        yield
+    finally:
+        _owners.remove(mine)
+        for path in mine:
+            hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
 def spread(scan: DataFrame) -> DataFrame:

@@ -62,11 +62,23 @@ def sessions(flows: DataFrame, watermark: str = K.WATERMARK, source: str = "src_
 def without_repeats(
     alerts: DataFrame,
     keys: tuple[str, ...] = ("src_ip", "dst_port", "action"),
+    seconds: int = K.REPEAT_SECONDS,
     watermark: str = K.WATERMARK,
     ts: str = "ts",
+    order: str = "event_id",
 ) -> DataFrame:
-    """The first alert of each key; repeats within the watermark are suppressed."""
-    return alerts.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(list(keys))
+    """The first alert of each key and event-time slot, with the number of alerts it stands for.
+
+    Slots are fixed, so the answer does not depend on how alerts fall into micro-batches.
+    Update mode: the last row of a key and slot holds (``dispatch.last_update``).
+    """
+    first = F.min(F.struct(F.col(ts).alias("ts"), F.col(order).alias(order))).alias("first")
+    return (
+        alerts.withWatermark(ts, watermark)
+        .groupBy(*keys, F.window(ts, f"{seconds} seconds").alias("w"))
+        .agg(first, F.count(F.lit(1)).alias("repeats"))
+        .select(*keys, F.floor(epoch_seconds(F.col("w.start")) / seconds).alias("slot"), f"first.{order}", "repeats")
+    )
 
 
 def rolling_detection_stats(log: DataFrame) -> DataFrame:
