@@ -146,21 +146,27 @@ def skip_banned(spark, folder):
     return lookups.without_banned(source.select("flow_id", "src_ip"), bans).select("flow_id", "src_ip")
 
 
-def _latest_second(source) -> int:
-    return source.agg(F.max(epoch_seconds(F.col("ts"))).alias("m")).first()["m"]
+def _instants(source) -> list[int]:
+    """Twelve late seconds with an error each, a minute after it."""
+    second = epoch_seconds(F.col("ts"))
+    rows = source.where(F.col("event_type") == "error").groupBy(F.col("event_id") % 12).agg((F.max(second) + 60).alias("t"))
+    return [r["t"] for r in rows.collect()]
+
+
+INSTANTS_SQL = """i AS (SELECT DISTINCT t FROM (SELECT max(CAST(floor(epoch(ts)) AS BIGINT)) + 60 AS t FROM flows WHERE event_type = 'error' GROUP BY event_id % 12))"""
 
 
 @query(
     "block_list_active",
-    f"""WITH {FLOWS_SQL}, n AS (SELECT max(CAST(floor(epoch(ts)) AS BIGINT)) AS now FROM flows),
-    b AS (SELECT src_ip, max(CAST(floor(epoch(ts)) AS BIGINT)) AS blocked_at, count(*) AS block_events FROM flows WHERE event_type = 'error' GROUP BY src_ip)
-    SELECT src_ip, blocked_at, blocked_at + 1800 AS expires_at, block_events FROM b, n WHERE blocked_at + 1800 > now""",
+    f"""WITH {FLOWS_SQL}, {INSTANTS_SQL}, b AS (SELECT src_ip, CAST(floor(epoch(ts)) AS BIGINT) AS sec FROM flows WHERE event_type = 'error')
+    SELECT t AS as_of, src_ip, max(sec) AS blocked_at, max(sec) + 1800 AS expires_at, count(*) AS block_events
+    FROM b JOIN i ON sec <= t AND sec + 1800 > t GROUP BY t, src_ip""",
 )
 def block_list_active(spark, folder):
     source = flows(spark, folder)
     blocks = source.where(F.col("event_type") == "error")
-    return lookups.active_blocks(blocks, _latest_second(source)).select(
-        "src_ip", "blocked_at", "expires_at", "block_events"
+    return lookups.active_blocks_at(blocks, _instants(source)).select(
+        "as_of", "src_ip", "blocked_at", "expires_at", "block_events"
     )
 
 
@@ -274,14 +280,13 @@ _GRADE = "CASE WHEN blacklists > 0 THEN 'CRITICAL' WHEN redirects > 5 THEN 'HIGH
 
 @query(
     "threat_level",
-    f"""WITH {DECEPTION_LOG_SQL}, s AS (SELECT CAST(floor(epoch(ts)) AS BIGINT) AS sec, event_type FROM dec), n AS (SELECT max(sec) AS now FROM s),
-    t AS (SELECT count(*) FILTER (WHERE event_type = 'REDIRECT') AS redirects, count(*) FILTER (WHERE event_type = 'BLACKLIST') AS blacklists
-      FROM s, n WHERE now - sec >= 0 AND now - sec < 300)
-    SELECT redirects, blacklists, {_GRADE} AS threat_level FROM t""",
+    f"""WITH {DECEPTION_LOG_SQL}, {INSTANTS_SQL}, s AS (SELECT CAST(floor(epoch(ts)) AS BIGINT) AS sec, event_type FROM dec),
+    t AS (SELECT t AS as_of, count(*) FILTER (WHERE event_type = 'REDIRECT') AS redirects, count(*) FILTER (WHERE event_type = 'BLACKLIST') AS blacklists
+      FROM i LEFT JOIN s ON t - sec >= 0 AND t - sec < 300 GROUP BY t)
+    SELECT as_of, redirects, blacklists, {_GRADE} AS threat_level FROM t""",
 )
 def threat_level(spark, folder):
-    log = deception_log(spark, folder)
-    return soc.threat_level(log, _latest_second(log))
+    return soc.threat_levels(deception_log(spark, folder), _instants(flows(spark, folder)))
 
 
 @query(
@@ -296,11 +301,13 @@ def threat_history(spark, folder):
 
 @query(
     "recent_events",
-    f"""WITH {DETECTION_LOG_SQL}, dec AS (SELECT event_id, ts, strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp, src_ip, CASE event_type """
+    f"""WITH {DETECTION_LOG_SQL}, dec AS (SELECT event_id, ts, strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp, src_ip, dst_port, k, CASE event_type """
     + " ".join(f"WHEN '{kind}' THEN '{event}'" for kind, event in _DECEPTION_NAMES.items())
     + """ END AS event_type FROM flows),
-    a AS (SELECT timestamp, 'detection' AS type, NULL AS event_type, src_ip, prediction, prediction AS label, event_id FROM det ORDER BY timestamp DESC, event_id DESC LIMIT 50),
-    b AS (SELECT timestamp, 'deception' AS type, event_type, src_ip, CAST(NULL AS INTEGER) AS prediction, CAST(NULL AS INTEGER) AS label, event_id FROM dec ORDER BY timestamp DESC, event_id DESC LIMIT 50)
+    a AS (SELECT timestamp, 'detection' AS type, NULL AS event_type, det.src_ip, CAST(dst_port AS INTEGER) AS dst_port, prediction, prediction AS label,
+      CAST(NULL AS VARCHAR) AS details, event_id FROM det JOIN (SELECT event_id, dst_port FROM flows) USING (event_id) ORDER BY timestamp DESC, event_id DESC LIMIT 50),
+    b AS (SELECT timestamp, 'deception' AS type, event_type, src_ip, CAST(NULL AS INTEGER) AS dst_port, CAST(NULL AS INTEGER) AS prediction, CAST(NULL AS INTEGER) AS label,
+      'Port: ' || CAST(dst_port AS INTEGER) || ' | Mutated TTL: ' || k AS details, event_id FROM dec ORDER BY timestamp DESC, event_id DESC LIMIT 50)
     SELECT * FROM (SELECT * FROM a UNION ALL SELECT * FROM b) ORDER BY timestamp DESC, event_id DESC, type LIMIT 100""",
 )
 def recent_events(spark, folder):
@@ -325,7 +332,8 @@ def latest_per_log(spark, folder):
 def log_details(spark, folder):
     log = deception_log(spark, folder)
     parsed = soc.parse_details(F.col("details"))
-    kept = soc.object_details(F.col("props"))
+    whole = F.struct("timestamp", "event_type", F.get_json_object("props", "$.k").alias("k"))
+    kept = soc.object_details(F.to_json(whole))  # the two named keys go
     return log.select(
         "event_id",
         parsed["Port"].alias("port"),

@@ -93,6 +93,12 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return path
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table this package made; nothing happens if it is not there."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 _owners: list[list[str]] = []
 
 
@@ -106,8 +112,7 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     finally:
         _owners.remove(mine)
         for path in mine:
-            hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+            drop_path(spark, path)
 
 
 def spread(scan: DataFrame) -> DataFrame:
