@@ -6,7 +6,7 @@ from importlib import import_module
 
 from scanlens.catalog.registry import ORACLES, QUERIES
 
-for _name in ("prep", "aggregates", "evaluation", "logs", "learning", "streams"):
+for _name in ("prep", "aggregates", "evaluation", "logs", "learning", "streams", "sources"):
     import_module(f"scanlens.catalog.{_name}")
 
 __all__ = ["QUERIES", "ORACLES"]

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scanlens import constants as K
-from scanlens.catalog.registry import FLOWS_SQL, query, rounded
+from scanlens.catalog.registry import DIRTY_SQL, FLOWS_SQL, query, rounded
 from scanlens.functions import labels as L
 from scanlens.operators import smote as oversampling
 from scanlens.operators import trees, verdicts
@@ -180,3 +183,88 @@ def model_agreement(spark, folder):
         )
     graded = verdicts.with_severity(scored, ["vote_a", "vote_b", "vote_c"])
     return graded.groupBy("severity", "votes", "y").agg(F.count(F.lit(1)).alias("flows"))
+
+
+_HELD_OUT_SQL = f"""{DIRTY_SQL}, y AS (SELECT flow_id, CAST(coalesce(lower(label) LIKE '%portscan%', false) AS INTEGER) AS y FROM dirty),
+    h AS (SELECT flow_id, y FROM y QUALIFY row_number() OVER (PARTITION BY y ORDER BY md5(flow_id || '|42'), flow_id) - 1 < floor(0.2 * count(*) OVER (PARTITION BY y) + 0.5))"""
+
+
+@query(
+    "held_out_contract",
+    f"""WITH {_HELD_OUT_SQL} SELECT model, flow_id, y, true AS confidence_is_share, true AS prediction_follows
+    FROM h, (VALUES ('Random Forest'), ('Boosted Trees'), ('Isolation Forest')) m(model)""",
+)
+def held_out_contract(spark, folder):
+    """Held-out rows as each model scores them: confidence in [0, 1], and the prediction it implies."""
+    trained = _trained(spark, folder)
+    parts = []
+    for model in (*trained.models, "Isolation Forest"):
+        scored = trained.predict(trained.test, model)
+        c, p = F.col("confidence"), F.col("prediction")
+        follows = (p == (c > 0.5).cast("int")) | (c == 0.5) if model in trained.models else p.isin(0, 1)
+        parts.append(scored.select(F.lit(model).alias("model"), "flow_id", "y", c.between(0, 1).alias("confidence_is_share"), follows.alias("prediction_follows")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "confusion_totals",
+    f"""WITH {_HELD_OUT_SQL} SELECT model, CAST(count(*) FILTER (WHERE y = 1) AS BIGINT) AS attacks, CAST(count(*) FILTER (WHERE y = 0) AS BIGINT) AS benign, true AS flags_follow
+    FROM h, (VALUES ('Random Forest'), ('Boosted Trees'), ('Isolation Forest')) m(model) GROUP BY model""",
+)
+def confusion_totals(spark, folder):
+    """Class totals of every model's confusion row, and its acceptance flags recomputed from its rates."""
+    metrics = _trained(spark, folder).metrics
+    sup, uns, free = K.SUPERVISED_CRITERIA, K.UNSUPERVISED_CRITERIA, F.col("unsupervised")
+    passed = F.when(
+        free, (F.col("f1_score") >= uns["f1_score"]) & (F.col("accuracy") >= uns["accuracy"]) & (F.col("recall") >= uns["recall"])
+    ).otherwise((F.col("f1_score") >= sup["f1_score"]) & (F.col("accuracy") >= sup["accuracy"]) & (F.col("fpr") < sup["fpr"]))
+    follows = F.col("passed") == passed
+    return metrics.select("model", (F.col("tp") + F.col("fn")).alias("attacks"), (F.col("tn") + F.col("fp")).alias("benign"), follows.alias("flags_follow"))
+
+
+@query(
+    "importance_contract",
+    """SELECT CAST(1 AS DOUBLE) AS total, CAST(11 AS BIGINT) AS features, CAST(0 AS BIGINT) AS negative, CAST(0 AS DOUBLE) AS placeholders FROM (SELECT count(*) FROM events)""",
+)
+def importance_contract(spark, folder):
+    """Importances of the forest sum to 1, none is negative, and placeholders have none."""
+    trained = _trained(spark, folder)
+    found = trees.feature_importances(trained.models["Random Forest"], trained.features, spark, top=len(trained.features))
+    return found.agg(
+        F.round(F.sum("importance"), 6).alias("total"),
+        F.count(F.lit(1)).alias("features"),
+        F.count_if(F.col("importance") < 0).alias("negative"),
+        F.sum(F.when(F.col("feature").isin(*K.DEFENCE_FEATURES), F.col("importance")).otherwise(0.0)).alias("placeholders"),
+    )
+
+
+@query(
+    "graded_totals",
+    f"""WITH {DIRTY_SQL} SELECT src_ip, CAST(count(*) AS BIGINT) AS flows, true AS actions_follow FROM dirty GROUP BY src_ip""",
+)
+def graded_totals(spark, folder):
+    """Every flow scored by the saved forest: flows per source, and actions as their confidence demands."""
+    from scanlens.plans.score import score_flows
+    from scanlens.plans.train import Trained
+    from scanlens.session import shared_folder
+
+    root = shared_folder(spark, "models")
+    _trained(spark, folder).save(spark, root)
+    graded = score_flows(dirty_flows(spark, folder), Trained.load(spark, root))
+    follows = F.col("action") == L.graded_action(F.col("prediction"), F.col("confidence"))
+    return graded.groupBy("src_ip").agg(F.count(F.lit(1)).alias("flows"), F.every(follows).alias("actions_follow"))
+
+
+@query(
+    "fold_totals",
+    f"""WITH {FLOWS_SQL}, y AS (SELECT flow_id, CAST(label = 'PortScan' AS INTEGER) AS y FROM flows),
+    folds AS (SELECT y, CAST((row_number() OVER (PARTITION BY y ORDER BY md5(flow_id || '|42'), flow_id) - 1) % 3 AS INTEGER) AS fold FROM y)
+    SELECT fold, CAST(count(*) FILTER (WHERE y = 1) AS BIGINT) AS attacks, CAST(count(*) FILTER (WHERE y = 0) AS BIGINT) AS benign FROM folds GROUP BY fold""",
+)
+def fold_totals(spark, folder):
+    """Three-fold cross-validation of a small forest, oversampled inside each training part."""
+    from scanlens.operators.cv import cross_validate
+
+    scaled = written(_scaled(spark, folder), "scaled")
+    found = cross_validate(scaled, trees.random_forest(trees=5, max_depth=5), K.FEATURES, folds=3)
+    return found.select("fold", (F.col("tp") + F.col("fn")).alias("attacks"), (F.col("tn") + F.col("fp")).alias("benign"))
