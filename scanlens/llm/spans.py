@@ -16,6 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scanlens.llm.common import attach
 from scanlens.session import written
 
 #: A sentence ends after its full stops and the blanks that follow, or after a line break.
@@ -76,7 +77,8 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", least: in
     rows = written(_run_rows(base, least), "runs")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "print", "first")
     repeated = rows.groupBy("run").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("run", "low")
-    later = rows.join(repeated, "run").where(place != F.col("low"))
+    # written, so that the join has an exchange of its own, which the engine can split where one run is everywhere
+    later = attach(rows, written(repeated, "repeated"), ["run"], "inner").where(place != F.col("low"))
     return later.groupBy("id", "print").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("cut"))
 
 
