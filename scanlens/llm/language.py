@@ -24,7 +24,7 @@ CELLS = 1 << 15
 #: Documents with a declared language that the trigram model is fitted on, about (drawn by hash).
 FIT_ROWS = 20_000
 #: Rows of the fitting sample that a declared language needs to be modelled, and languages modelled at most.
-LEAST_ROWS, MOST_LANGUAGES = 20, 64
+LEAST_ROWS, MOST_LANGUAGES = 5, 64
 #: Neighbouring trigrams repeat each other: weight of their summed log likelihood.
 WEIGHT = 0.25
 #: Rows that the level above counts for in a smoothed prior.
