@@ -19,6 +19,7 @@ from scanlens.functions.hashing import row_hash
 from scanlens.limits import DRIVER_ROWS, IN_MEMORY_ROWS
 
 _DIGITS = 4  # 65,536 buckets per stratum
+_LEVEL = 1_024  # buckets of one level of splits; two levels give about a million
 
 
 def _hash_bucket(key: str, seed: int) -> tuple[Column, Column]:
@@ -110,12 +111,21 @@ def _attached(df: DataFrame, stratum: str, rows, fields: str) -> DataFrame:
 
 def split_points(df: DataFrame, column: str, rows: int, rows_per_bucket: int) -> list[float]:
     """Inner split values of ``column`` that give about ``rows_per_bucket`` rows each."""
-    buckets = min(max(math.ceil(rows / rows_per_bucket), 1), 4096)
+    buckets = max(math.ceil(rows / rows_per_bucket), 1)
     if buckets == 1:
         return []
-    shares = [i / buckets for i in range(1, buckets)]
-    found = df.select(column).where(F.col(column).isNotNull()).approxQuantile(column, shares, 0.2 / buckets)
-    return sorted({v for v in found if math.isfinite(v)})  # infinite values order rightly in the outer buckets
+    coarse = min(buckets, _LEVEL)
+    shares = [i / coarse for i in range(1, coarse)]
+    present = df.select(column).where(F.col(column).isNotNull())
+    found = present.approxQuantile(column, shares, 0.2 / coarse)
+    splits = sorted({v for v in found if math.isfinite(v)})  # infinite values order rightly in the outer buckets
+    if buckets > coarse:
+        # a second level: every bucket is cut again by the same method, all of them in one aggregate
+        fine = min(math.ceil(buckets / coarse), _LEVEL)
+        cuts = F.percentile_approx(column, [i / fine for i in range(1, fine)], max(10_000, 10 * fine))
+        inner = bucket_by_splits(present, column, splits, "_bucket").groupBy("_bucket").agg(cuts.alias("cuts")).collect()
+        splits = sorted({*splits, *(v for r in inner for v in r["cuts"] if math.isfinite(v))})
+    return splits
 
 
 def bucket_by_splits(df: DataFrame, column: str, splits: list[float], output: str) -> DataFrame:
@@ -157,8 +167,9 @@ def rank_within(
         )
     splits = split_points(df, order, rows, rows_per_bucket)
     bucketed = bucket_by_splits(df.withColumn("_hash", digest), order, splits, "_bucket")
-    lower_edge = F.try_element_at(F.array(*[F.lit(s) for s in splits]), F.col("_bucket")) if splits else F.lit(None)
-    on_edge = (F.col("_bucket") > 0) & (F.col(order) == lower_edge)
+    edges = df.sparkSession.createDataFrame([(i + 1, v) for i, v in enumerate(splits)], "_bucket int, _edge double")
+    bucketed = bucketed.join(F.broadcast(edges), "_bucket", "left")  # at most _LEVEL * _LEVEL rows
+    on_edge = (F.col("_bucket") > 0) & (F.col(order) == F.col("_edge"))
     tied = on_edge | F.col(order).isNull()
     bucketed = bucketed.withColumns(
         {
@@ -183,7 +194,7 @@ def rank_within(
     return (
         numbered.join(offsets, cell)
         .withColumn("row_rank", (F.col("_offset") + F.col("_row") - 1).cast("long"))
-        .drop("_hash", "_bucket", "_part", "_offset", "_row")
+        .drop("_hash", "_bucket", "_edge", "_part", "_offset", "_row")
     )
 
 
@@ -212,7 +223,7 @@ def running_totals(
         .select("_bucket", *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"_off_{s}") for s in sums])
     )
     return (
-        bucketed.join(F.broadcast(offsets), "_bucket")  # at most 4,096 rows
+        bucketed.join(F.broadcast(offsets), "_bucket")  # one row per bucket
         .withColumns({f"cum_{s}": F.col(f"_off_{s}") + F.sum(s).over(inside) for s in sums})
         .drop("_bucket", *[f"_off_{s}" for s in sums])
     )

@@ -65,6 +65,17 @@ def test_infinite_order_values(spark):
     assert {tuple(r) for r in plain.select("flow_id", "row_rank").collect()} == {tuple(r) for r in cut.select("flow_id", "row_rank").collect()}
 
 
+def test_two_levels_of_buckets(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "_LEVEL", 5)
+    df = spark.range(900).select(F.col("id").cast("string").alias("flow_id"), F.lit("s").alias("src_ip"), (F.col("id") * 7 % 450).cast("double").alias("v"))
+    assert len(ranking.split_points(df, "v", 900, 40)) > 10
+    plain, cut = (ranking.rank_within(df, "src_ip", "v", rows_per_bucket=n) for n in (10_000, 40))
+    assert {tuple(r) for r in plain.select("flow_id", "row_rank").collect()} == {tuple(r) for r in cut.select("flow_id", "row_rank").collect()}
+    once = df.where("cast(flow_id as int) < 450")
+    totals = [ranking.running_totals(once.withColumn("one", F.lit(1)), "v", ["one"], rows_per_bucket=n) for n in (10_000, 20)]
+    assert len({tuple(sorted(map(tuple, t.select("v", "cum_one").collect()))) for t in totals}) == 1
+
+
 def test_many_strata(spark):
     df = spark.range(4_000).select(F.col("id").cast("string").alias("flow_id"), (F.col("id") % 1_000).alias("s"))
     marked = ranking.mark_smallest_hashes(df, "s", lambda sizes: {s: 1 for s in sizes})
