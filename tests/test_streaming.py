@@ -112,7 +112,7 @@ def test_repeats_are_suppressed(spark, tmp_path):
     ).coalesce(1).write.parquet(str(tmp_path / "in"))
     session = sources.stream_session(spark)
     stream = session.readStream.schema(session.read.parquet(str(tmp_path / "in")).schema).parquet(str(tmp_path / "in"))
-    kept = dispatch.run_to_end(stream_windows.without_repeats(stream), spark, "repeats")
+    kept = dispatch.run_to_end(stream_windows.without_repeats(stream), spark, "repeats", "update")
     assert _rows(kept, "src_ip") == {("a",), ("b",)} and kept.count() == 2
 
 
