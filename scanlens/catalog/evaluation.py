@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scanlens import constants as K
-from scanlens.catalog.registry import DIRTY_SQL, FLOWS_SQL, query, rounded
+from scanlens.catalog.prep import apply_sql
+from scanlens.catalog.registry import FLOWS_SQL, query, rounded
 from scanlens.functions import labels as L
 from scanlens.operators import evaluate, soc, verdicts
 from scanlens.sources.flows_view import dirty_flows, flows, table
@@ -185,28 +186,24 @@ def severity_vote(spark, folder):
 
 @query(
     "score_summary",
-    f"""WITH {DIRTY_SQL}, md AS (SELECT median(flow_duration) AS d FROM clean),
-    i AS (SELECT c.*, coalesce(flow_duration, d) AS dur FROM clean c, md),
-    q AS (SELECT quantile_cont(dur, 0.25) AS q1, quantile_cont(dur, 0.75) AS q3 FROM i),
-    w AS (SELECT *, greatest(least(dur, q3 + 1.5*(q3-q1)), q1 - 1.5*(q3-q1)) AS capped FROM i, q),
-    s AS (SELECT label, capped, CAST(score_a >= 0.5 AS INTEGER) AS prediction, score_a AS confidence FROM w),
-    a AS (SELECT *, {_ACTION_SQL} AS action FROM s)
-    SELECT action, CAST(count(*) AS BIGINT) AS flows, CAST(sum(prediction) AS BIGINT) AS attacks,
-    round(avg(capped), 3) AS mean_duration FROM a GROUP BY action""",
+    f"""WITH {_SCORED_SQL}, t AS ({apply_sql("serve_ref")}),
+    a AS (SELECT t.*, s.prediction, {_ACTION_SQL} AS action
+      FROM t JOIN (SELECT flow_id, prediction, confidence FROM s) s USING (flow_id))
+    SELECT action, count(*) AS flows, CAST(sum(prediction) AS BIGINT) AS attacks, """
+    + ", ".join(f"round(avg({c}), 3) + 0.0 AS mean_{c}" for c in K.FEATURES)
+    + " FROM a GROUP BY action",
 )
 def score_summary(spark, folder):
-    """Dirty flows cleaned, imputed and capped with fitted parameters, scored, graded and counted."""
+    """Dirty flows cleaned, imputed, capped and logged with fitted parameters, scored, graded and summarised."""
     from scanlens.operators.preprocess import apply_preprocessing, fit_preprocessing
 
     source = dirty_flows(spark, folder)
-    params = fit_preprocessing(source, ["flow_duration"], variant="serve_ref")
-    for p in params.features:
-        p.log = False
+    params = fit_preprocessing(source, K.FEATURES, variant="serve_ref")
     graded = verdicts.grade(verdicts.by_rule_score(apply_preprocessing(source, params)))
     return graded.groupBy("action").agg(
         F.count(F.lit(1)).alias("flows"),
         F.sum("prediction").alias("attacks"),
-        rounded(F.avg("flow_duration"), 3).alias("mean_duration"),
+        *[rounded(F.avg(rounded(c)), 3).alias(f"mean_{c}") for c in K.FEATURES],
     )
 
 

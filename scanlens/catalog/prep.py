@@ -220,7 +220,7 @@ def _param_rows_sql(variant: str) -> str:
     round(skew, 6) + 0.0 AS skewness, log, round(shift, 6) AS shift FROM r JOIN p USING (feature)"""
 
 
-def _apply_sql(variant: str) -> str:
+def apply_sql(variant: str) -> str:
     lifted = (
         "ls AS (SELECT "
         + ", ".join(
@@ -251,14 +251,14 @@ def fit_train_preprocessing(spark, folder):
     return _param_frame(spark, preprocess.fit_preprocessing(dirty_flows(spark, folder), variant="train"))
 
 
-@query("apply_preprocessing", _apply_sql("serve_ref"))
+@query("apply_preprocessing", apply_sql("serve_ref"))
 def apply_preprocessing(spark, folder):
     source = dirty_flows(spark, folder)
     params = preprocess.fit_preprocessing(source, variant="serve_ref")
     return preprocess.apply_preprocessing(source, params).select("flow_id", *_rounded_features())
 
 
-@query("train_preprocessing", _apply_sql("train"))
+@query("train_preprocessing", apply_sql("train"))
 def train_preprocessing(spark, folder):
     source = dirty_flows(spark, folder)
     params = preprocess.fit_preprocessing(source, variant="train")
