@@ -29,10 +29,12 @@ from scanlens.session import written
 WORDS = 5
 #: Two sets link if ``100 * overlap >= PERCENT * union``.
 PERCENT = 80
-#: Bits of a signature: the power of two not below the set size, within these limits.
-LEAST_BITS, MOST_BITS = 64, 1 << 16
+#: Bits of a signature: the power of two not below four times the set size, within these limits.
+LEAST_BITS, MOST_BITS = 64, 1 << 17
 #: Smallest shingles of a node that look for a pivot, and how many must find the same one.
 PIVOTS, AGREE = 8, 3
+#: Further pivots for a node that the first one does not link.
+MORE_PIVOTS = 6
 #: Shingles in more nodes than this are put last in the order of the prefix filter.
 CROWDED = 64
 #: Cells that crowded shingles are hashed to; a bitmap of them (8 MB) goes to the tasks.
@@ -43,7 +45,7 @@ BLOCK = 512
 #: Entries of a leaf and subtrees of an inner tree node.
 FANOUT = 8
 #: Word hashes a task remembers before it starts afresh.
-WORD_CACHE = 300_000
+WORD_CACHE = 150_000
 
 _PLACE = np.random.default_rng(5).integers(0, 2**64, WORDS, np.uint64) | np.uint64(1)
 
@@ -75,7 +77,7 @@ def shingles(text: str, hashes: dict[bytes, int]) -> np.ndarray:
 
 
 def width(n: int) -> int:
-    return min(MOST_BITS, max(LEAST_BITS, 1 << max(0, n - 1).bit_length()))
+    return min(MOST_BITS, max(LEAST_BITS, 1 << max(0, 4 * n - 1).bit_length()))
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
@@ -194,7 +196,7 @@ def _marks(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
-        for b in batches:
+        for b in _slices(batches):
             n, sets, sigs, small = [], [], [], []
             for t in b.column("text").to_pylist():
                 s = shingles(t or "", hashes)
@@ -208,11 +210,17 @@ def _marks(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"id {dict(docs.dtypes)['id']}, print long, n long, set binary, sig binary, small array<long>")
 
 
-def _pivot_pairs(nodes: DataFrame) -> DataFrame:
-    """``(a, b)``: nodes, and the pivots that several of their smallest shingles agree on."""
+def _pivot_pairs(nodes: DataFrame, asking: DataFrame, rounds: range) -> DataFrame:
+    """``(a, b)``: asking nodes, and the pivots that several of their smallest shingles agree on.
+
+    Each round draws one pivot for every shingle by a hash of its own.
+    """
     rows = nodes.select("node", "n", F.explode("small").alias("token"))
-    pivots = rows.groupBy("token").agg(F.count("*").alias("c"), F.min(F.struct("node", "n")).alias("p")).where("c > 1").select("token", "p")
-    near = rows.join(pivots, "token").where(f"node <> p.node and 100 * least(n, p.n) >= {PERCENT} * greatest(n, p.n)")
+    drawn = [F.min(F.struct(F.xxhash64(F.lit(r), "node").alias("h"), "node", "n")).alias(f"p{r}") for r in rounds]
+    pivots = rows.groupBy("token").agg(F.count("*").alias("c"), *drawn).where("c > 1").select("token", F.array(*(f"p{r}" for r in rounds)).alias("p"))
+    mine = asking.select("node", "n", F.explode("small").alias("token"))
+    near = mine.join(pivots, "token").select("node", "n", "token", F.explode(F.array_distinct("p")).alias("p"))
+    near = near.where(f"node <> p.node and 100 * least(n, p.n) >= {PERCENT} * greatest(n, p.n)")
     return near.groupBy(F.col("node").alias("a"), F.col("p.node").alias("b"), "n").count().where(f"count >= least({AGREE}, (n + 1) div 2)").select("a", "b")
 
 
@@ -240,12 +248,19 @@ def _verified(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return left.join(right, "b").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that the shingles of few texts are held at a time."""
+    for b in batches:
+        for s in range(0, b.num_rows, rows):
+            yield b.slice(s, rows)
+
+
 def _lowest(reps: DataFrame) -> DataFrame:
     """``token`` for the lowest quarter of each node's shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
-        for b in batches:
+        for b in _slices(batches):
             tokens = [s[: len(s) // 4 + 1] for s in (shingles(t, hashes) for t in b.column("text").to_pylist())]
             yield _batch({"token": (np.concatenate(tokens).view(np.int64), pa.int64())})
 
@@ -273,7 +288,7 @@ def _prefixes(reps: DataFrame, crowded: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
-        for b in batches:
+        for b in _slices(batches):
             tokens = []
             for t in b.column("text").to_pylist():
                 s = shingles(t, hashes)
@@ -349,7 +364,12 @@ def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     reps = attach(base, known, ["id", "print"], "inner").select("node", "text").union(attach(base.where("id is null"), lone, ["print"], "inner").select("node", "text"))
     reps = written(reps.dropDuplicates(["node"]) if _repeated(marks) else reps, "reps")
 
-    near = written(_verified(_pivot_pairs(nodes), reps), "links")
+    tried = written(_pivot_pairs(nodes, nodes, range(1)), "pivot-pairs")
+    near = written(_verified(tried, reps), "links")
+    # what found a pivot but no link asks further pivots
+    lone = tried.select(F.col("a").alias("node")).distinct().join(near.select(F.col("a").alias("node")), "node", "left_anti")
+    lone = attach(nodes.select("node", "n", "small"), written(lone, "lone"), ["node"], "inner")
+    near = near.union(written(_verified(_pivot_pairs(nodes, lone, range(1, 1 + MORE_PIVOTS)), reps), "links"))
     found = written(components(spark, near).select("node", F.col("comp").alias("group")), "groups")
     grouped = attach(reps, found, ["node"]).withColumn("group", F.coalesce("group", "node"))
     often = _lowest(reps).groupBy("token").count().where(f"count > {CROWDED}")
