@@ -1,28 +1,47 @@
 """Substring dedup by sliding sentence spans.
 
-Every run of consecutive sentences is hashed: from each sentence, the shortest run that
-holds ``RUN_WORDS`` words.  Runs are counted over all documents; sentences inside any
-occurrence of a repeated run but the first are removed.  The first occurrence is the one
-with the smallest document id, then the earliest in the text.
+Three kinds of spans are hashed: from each sentence, the shortest run of whole sentences
+that holds ``RUN_WORDS`` words; to each sentence, the shortest run that holds ``WINDOW``
+words and ends there; and anchors, rows of ``ANCHOR`` words at places that their own
+words choose, whatever the sentences.  Any ``WINDOW`` words in a row with ``DISTINCT`` different
+ones hold an anchor, so none of them stays in two places.  Spans are counted over all documents; what is inside
+any occurrence of a repeated span but the first is removed.  The first occurrence is the
+one with the smallest document id, then the earliest in the text.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scanlens.llm.common import attach
+from scanlens.llm.setjoin import _cells, _marked
 from scanlens.session import written
 
 #: A sentence ends after its full stops and the blanks that follow, or after a line break.
-BREAK = re.compile(r"(?<=[.!?])\s+|\s*\n\s*")
+BREAK = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])\s*|\s*\n\s*")
 #: Words a run has at least.  Shorter repeats (a licence line, a greeting) are left alone.
 RUN_WORDS = 25
+#: No row of so many words stays in a second place.
+WINDOW = 50
+#: Words of an anchor.  A repeated passage loses all but at most WINDOW - ANCHOR words at each end.
+ANCHOR = 38
+#: Different words that tell a passage from a few words said again and again.
+DISTINCT = 25
+#: Scripts written without blanks: every character is a word.
+_SOLO = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3001-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff01\uff1f\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[{_SOLO}]|[^\s{_SOLO}]+")
+#: Longer stretches without blanks are cut where their own last characters say so.
+LONG = 64
+#: Hashes of words that a task remembers.
+WORD_CACHE = 500_000
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -31,16 +50,94 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in zip(cuts, cuts[1:], strict=False) if b > a]
 
 
-def runs(text: str, least: int = RUN_WORDS) -> tuple[int, list[tuple[int, int, int]]]:
-    """Number of sentences, and ``(first, last, hash)`` of the shortest run of ``least`` words from each.
+def _pieces(word: str) -> list[int]:
+    """Ends of the pieces of a stretch without blanks."""
+    if len(word) <= LONG:
+        return [len(word)]
+    ends = [k for k in range(4, len(word)) if xxhash.xxh3_64_intdigest(word[k - 4 : k]) % 16 == 0]
+    return [*ends, len(word)]
+
+
+def word_spans(text: str) -> list[tuple[int, int]]:
+    """Spans of the words."""
+    out = []
+    for m in _WORD.finditer(text):
+        a = m.start()
+        for e in _pieces(m[0]):
+            out.append((a, m.start() + e))
+            a = m.start() + e
+    return out
+
+
+def _words(text: str) -> list[str]:
+    """The words in lower case."""
+    words = text.split() if text.isascii() else _WORD.findall(text)
+    if max(map(len, words), default=0) > LONG:
+        return [text[a:b].lower() for a, b in word_spans(text)]
+    return [w.lower() for w in words]
+
+
+class _Hashes(dict):
+    def __missing__(self, word: str) -> int:
+        if len(self) >= WORD_CACHE:
+            self.clear()
+        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+def anchors(words: list[str], known: _Hashes | None = None) -> list[tuple[int, int, int]]:
+    """``(first word, -(word after the last), hash)`` of the anchors.
+
+    Of any ``WINDOW - ANCHOR + 1`` neighbouring rows of ``ANCHOR`` words those with the
+    smallest hash are taken; a shorter text has none.  Anchors that no window with
+    ``DISTINCT`` different words can hold are left out.
+    """
+    n = len(words) - ANCHOR + 1
+    span = WINDOW - ANCHOR + 1
+    if n < span:
+        return []
+    known = _Hashes() if known is None else known
+    one = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    h, size, done = None, 1, 0
+    while True:  # rows of ANCHOR words from rows of 1, 2, 4, ... words
+        if ANCHOR & size:
+            part = one[done : done + n]
+            h = part.copy() if h is None else _joined(h, part)
+            done += size
+        size *= 2
+        if size > ANCHOR:
+            break
+        half = size // 2
+        one = _joined(one[:-half], one[half:])
+    least = np.lib.stride_tricks.sliding_window_view(h, span).min(1)
+    taken = np.zeros(n, bool)
+    for k in range(span):
+        taken[k : k + len(least)] |= h[k : k + len(least)] == least
+    at = np.flatnonzero(taken)
+    found = zip(at.tolist(), h[at].view(np.int64).tolist(), strict=True)
+    return [(i, -i - ANCHOR, x) for i, x in found if len(set(words[i : i + ANCHOR])) >= DISTINCT - (WINDOW - ANCHOR)]
+
+
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = (a ^ (a >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + b
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(31))
+
+
+def runs(text: str, least: int = RUN_WORDS, known: _Hashes | None = None) -> tuple[int, list[tuple[int, int, int]]]:
+    """Number of sentences, and ``(first, last, hash)`` of the runs from each and to each sentence, and of the anchors.
 
     Hashes ignore case and the width of blanks.
     """
-    words = [text[a:b].lower().split() for a, b in sentences(text)]
+    words = [_words(text[a:b]) for a, b in sentences(text)]
     flat = [w for s in words for w in s]
     at = [0]
     for s in words:
         at.append(at[-1] + len(s))
+
+    def row(i: int, end: int) -> tuple[int, int, int]:
+        return i, end, xxhash.xxh3_64_intdigest(" ".join(flat[at[i] : at[end + 1]])) - 2**63
+
     out, end = [], 0
     for i in range(len(words)):
         end = max(end, i)
@@ -49,16 +146,23 @@ def runs(text: str, least: int = RUN_WORDS) -> tuple[int, list[tuple[int, int, i
         if end == len(words):
             break
         if words[i]:
-            out.append((i, end, xxhash.xxh3_64_intdigest(" ".join(flat[at[i] : at[end + 1]])) - 2**63))
-    return len(words), out
+            out.append(row(i, end))
+    first = 0
+    for end in range(len(words)):
+        while first < end and at[end + 1] - at[first + 1] >= WINDOW:
+            first += 1
+        if words[end] and at[end + 1] - at[first] >= WINDOW:
+            out.append(row(first, end))
+    return len(words), list(dict.fromkeys(out)) + anchors(flat, known)
 
 
 def _run_rows(docs: DataFrame, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Hashes()
         for b in batches:
             ids, prints, rows = b.column("id").to_pylist(), b.column("print").to_pylist(), [[], [], [], [], []]
             for i, p, t in zip(ids, prints, b.column("text").to_pylist(), strict=True):
-                for first, last, h in runs(t or "", least)[1]:
+                for first, last, h in runs(t or "", least, known)[1]:
                     for column, value in zip(rows, (h, i, p, first, last), strict=True):
                         column.append(value)
             kinds = (pa.int64(), b.schema.field("id").type, pa.int64(), pa.int32(), pa.int32())
@@ -67,8 +171,19 @@ def _run_rows(docs: DataFrame, least: int) -> DataFrame:
     return docs.mapInArrow(run, f"run long, id {dict(docs.dtypes)['id']}, print long, first int, last int")
 
 
+def _maybe_in(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The rows of repeated runs, and a few others: a bitmap of cells saves the rest the way through the join."""
+    held = rows.sparkSession.sparkContext.broadcast(_cells(repeated.select(F.col("run").alias("token"))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(_marked(held.value, b.column("run").to_numpy().view(np.uint64))))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = RUN_WORDS) -> DataFrame:
-    """``(id, print, cut)`` for the documents that lose sentences; ``cut`` lists sentence ranges.
+    """``(id, print, cut)`` for the documents that lose something; ``cut`` lists sentence ranges, and word ranges with a negative end.
 
     ``print`` is a hash of the text: rows with equal id and text are one document.
     """
@@ -76,9 +191,14 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", least: in
     base = docs.select(F.col(key).alias("id"), F.xxhash64(body).alias("print"), body.alias("text"))
     rows = written(_run_rows(base, least), "runs")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "print", "first")
-    repeated = rows.groupBy("run").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("run", "low")
+    # repeated rows count as well; they are their own first place and drop out below
+    repeated = rows.groupBy("run").agg(F.min(place).alias("low"), F.count("*").alias("n")).where("n > 1").select("run", "low")
     # written, so that the join has an exchange of its own, which the engine can split where one run is everywhere
-    later = attach(rows, written(repeated, "repeated"), ["run"], "inner").where(place != F.col("low"))
+    repeated = written(repeated, "repeated")
+    later = attach(_maybe_in(rows, repeated), repeated, ["run"], "inner").where(place != F.col("low"))
+    # an anchor that overlaps its own first place (a text that repeats a few words) leaves that place whole
+    own = F.col("id").eqNullSafe(F.col("low.id")) & (F.col("print") == F.col("low.print")) & (F.col("last") < 0)
+    later = later.withColumn("first", F.when(own, F.greatest(F.col("first"), F.col("low.first") + ANCHOR)).otherwise(F.col("first")))
     return later.groupBy("id", "print").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("cut"))
 
 
@@ -89,6 +209,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", lea
     Rows with equal id and text count as one document, so neither is the other's repeat;
     rows of one id with different texts are told apart.  A null id comes after all
     others.  A run that repeats inside one document is removed there as well.
+    ``n_removed`` counts the sentences that lost words.
     """
     added = ["n_sentences", "n_removed", "kept_text"]
     names = [c for c in docs.columns if c not in added]
@@ -112,9 +233,35 @@ def _kept(text: str | None, cut: list[dict] | None) -> tuple[int, int, str | Non
     own = sentences(text or "")
     if not cut:
         return len(own), 0, text
-    gone = {i for c in cut for i in range(c["first"], c["last"] + 1)}
-    kept = "".join(text[a:b] for i, (a, b) in enumerate(own) if i not in gone)
-    return len(own), len(gone), kept.rstrip() if len(own) - 1 in gone else kept
+    gone = {i for c in cut if c["last"] >= 0 for i in range(c["first"], c["last"] + 1)}
+    ranges = [(c["first"], -c["last"]) for c in cut if c["last"] < 0]
+    lost: dict[int, set[int]] = {}  # sentence: its lost words
+    spans = word_spans(text) if ranges else []
+    starts = [a for a, _ in own]
+    upto = 0
+    for first, end in sorted(ranges):
+        for k in range(max(first, upto), end):
+            lost.setdefault(bisect_right(starts, spans[k][0]) - 1, set()).add(k)
+        upto = max(upto, end)
+    parts, at, touched = [], 0, gone | lost.keys()
+    for i, (a, b) in enumerate(own):
+        mine = []
+        while at < len(spans) and spans[at][0] < b:
+            mine.append(at)
+            at += 1
+        if i in gone or i in lost and len(lost[i]) == len(mine):
+            continue
+        parts.append(_without(text, a, b, [(spans[k], k in lost[i]) for k in mine]) if i in lost else text[a:b])
+    kept = "".join(parts)
+    return len(own), len(touched), kept.rstrip() if len(own) - 1 in touched else kept
+
+
+def _without(text: str, a: int, b: int, words: list[tuple[tuple[int, int], bool]]) -> str:
+    """A sentence without its lost words; each goes with the blanks behind it, those behind the sentence stay."""
+    edges = [a, *(s for (s, _), _ in words[1:]), words[-1][0][1]]
+    left = "".join(text[x:y] for x, y, (_, away) in zip(edges, edges[1:], words, strict=False) if not away)
+    bare = left.rstrip()
+    return bare + (text[edges[-1] : b] or left[len(bare) :])
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:

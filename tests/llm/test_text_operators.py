@@ -168,3 +168,54 @@ def test_url_rules_against_brute_force(spark, monkeypatch, broadcast):
     assert got == sorted(((i, *_judge(u, rules)) for i, u in [*enumerate(urls), (0, None), (4, urls[4])]), key=repr)
     assert urlrules.judge_urls(pages.limit(0), frame).count() == 0
     assert urlrules.judge_urls(pages, frame.limit(0)).where("rule is not null").count() == 0
+
+
+def _second_windows(before: list[tuple[int, str]], after: dict[int, str]) -> list[tuple[int, str]]:
+    """Rows of 50 words that stay where an earlier place keeps them too."""
+    seen: dict[str, int] = {}
+    found = []
+    for i, _ in sorted(before):
+        words = [after[i][a:b].lower() for a, b in spans.word_spans(after[i])]
+        for k in range(len(words) - 49):
+            row = " ".join(words[k : k + 50])
+            if seen.setdefault(row, i) != i:
+                found.append((i, row))
+    return found
+
+
+def test_no_window_of_fifty_words_stays_twice(spark):
+    draw = random.Random(12)
+    fresh = lambda n: [f"w{draw.randrange(10**9)}" for _ in range(n)]
+    cut = [*fresh(22), "one.", *fresh(18), "two!", *fresh(22)]  # begins and ends inside sentences
+    clean = " ".join([*fresh(29), "end.", *fresh(23), "stop."])
+    bare = fresh(60)
+    han = "".join(chr(0x4E00 + draw.randrange(8000)) for _ in range(60)) + "。" + "".join(chr(0x4E00 + draw.randrange(8000)) for _ in range(40)) + "。"
+    blob = "".join(draw.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(2500))
+    docs = []
+    for k in range(6):
+        docs.append((k, " ".join([*fresh(9), "x.", *fresh(k + 3), *cut, *fresh(5), "z."])))
+        docs.append((10 + k, f"{' '.join(fresh(8))}. {clean} {' '.join(fresh(8))}."))
+        docs.append((20 + k, " ".join([*fresh(k + 40), *bare, *fresh(40)])))
+        docs.append((30 + k, chr(0x3042 + k) * 5 + han + chr(0x3052 + k) * 5))
+        docs.append((40 + k, "q" * k + blob + "r" * k))
+    docs += [(60, " ".join(["a", "b"] * 200)), (61, "short text. " * 3)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = {r.doc_id: r for r in spans.remove_repeats(frame).collect()}
+    after = {i: r.kept_text for i, r in rows.items()}
+    assert _second_windows(docs, after) == []
+    assert all(after[i] == docs_text for i, docs_text in docs if i in (0, 10, 20, 30, 40))  # first places are whole
+    for k in range(1, 6):
+        assert not set(clean.split()) & set(after[10 + k].split())  # a cleanly cut passage goes whole
+        for i, passage in ((k, cut), (20 + k, bare)):
+            text = dict(docs)[i]
+            assert sum(w in passage for w in after[i].split()) <= 2 * (spans.WINDOW - spans.ANCHOR)
+            assert [w for w in text.split() if w not in passage] == [w for w in after[i].split() if w not in passage]
+    assert rows[60].n_removed == rows[61].n_removed == 0  # a few words said again and again are no passage
+
+
+def test_anchor_leaves_its_own_first_place(spark):
+    draw = random.Random(3)
+    line = [f"w{draw.randrange(10**9)}" for _ in range(30)]
+    frame = spark.createDataFrame([(1, " ".join(line * 6))], "doc_id long, text string")
+    kept = spans.remove_repeats(frame).first().kept_text.split()
+    assert kept[:30] == line and len(kept) < 2 * spans.WINDOW
