@@ -233,56 +233,70 @@ def _text_of(slot: Slot, varying: bool) -> int:
     return own + sum(_text_of(c, varying) for c in slot.children)
 
 
-def _body(slot: Slot) -> Slot:
-    """The slot that holds the article: the outermost article or main element with most text, else the whole page."""
-    found: list[tuple[int, Slot]] = []
+def _bodies(page: Slot) -> list[Slot]:
+    """The slots of a page that hold its article: every outermost article (else main, else content) element with text."""
+    found: list[Slot] = []
 
     def walk(s: Slot, wanted: set[str]) -> None:
         if s.marked:
             return
         if set(re.split(r"[^a-z]+", s.label)) & wanted:
-            found.append((_text_of(s, False), s))
+            if _text_of(s, False):
+                found.append(s)
             return
         for c in s.children:
             walk(c, wanted)
 
     for wanted in ({"article"}, {"main"}, CONTENT):
-        walk(slot, wanted)
-        if any(n for n, _ in found):
-            return max(found, key=lambda x: x[0])[1]
-    return slot
+        walk(page, wanted)
+        if found:
+            return found
+    return [page]
 
 
 def extract(page: str, template: Slot | None) -> str:
     """Main text of a page: its blocks in content slots of the template, joined by two line feeds.
 
-    A slot is content if it is inside the body slot, not marked, and varies.  If nothing
-    in the body varies (one page, or copies of one page) all its slots are content.
+    A slot is content if it is inside a body of the page, not marked, and varies.  If
+    nothing in the bodies varies (one page, or copies of one page) all their slots are
+    content, as are those of a body that no other page of the host has.
     """
     root, blocks = parse(page)
     own = fold([root])
-    template = template or own
-    body = _body(template)
-    whole = body.label == "#root"
-    fixed = _text_of(body, True) == 0
-    chosen: list[int] = []
+    bodies = _bodies(own)
+    whole = bodies[0] is own
+    held: list[tuple[Slot | None, Slot]] = []
     known: dict = {}
 
-    def walk(t: Slot | None, p: Slot, inside: bool) -> None:
+    def find(t: Slot | None, p: Slot) -> None:
+        if p.marked or t is not None and t.marked:
+            return
+        if any(p is x for x in bodies):
+            held.append((t, p))
+            return
+        for x, y in aligned(t.children, p.children, known) if t is not None else ((None, c) for c in p.children):
+            if y is not None:
+                find(x, y)
+
+    find(template or own, own)
+    fixed = not any(t is not None and _text_of(t, True) for t, _ in held)
+    chosen: list[int] = []
+
+    def walk(t: Slot | None, p: Slot, free: bool) -> None:
         if p.marked or t is not None and t.marked:
             return
-        inside = inside or t is body
         if p.label == "#text":
-            constant = t is not None and t.same != "" and not fixed
+            constant = t is not None and t.same != "" and not free
             menu = whole and t is not None and t.links > LINKED * t.chars
-            if inside and not constant and not menu:
+            if not constant and not menu:
                 chosen.extend(p.refs)
             return
         for x, y in aligned(t.children, p.children, known) if t is not None else ((None, c) for c in p.children):
             if y is not None:
-                walk(x, y, inside)
+                walk(x, y, free)
 
-    walk(template, own, False)
+    for t, p in held:
+        walk(t, p, fixed or t is None or t.pages == 1)
     return "\n\n".join(blocks[i].text for i in sorted(chosen))
 
 

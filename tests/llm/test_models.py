@@ -104,6 +104,22 @@ def test_articles_of_a_host(spark):
     assert all(r.n_chars == len(r.text) for r in got.values())
 
 
+def test_every_layout_of_a_host_has_its_article(spark):
+    """Slots of other classes, tags and depths, and several articles on a page."""
+    draw = random.Random(9)
+    text = lambda: " ".join(f"w{draw.randrange(10**6)}" for _ in range(20))
+    shapes = ['<article class="post sport"><p>{}</p></article>', '<article class="news post"><p>{}</p></article>', "<div><div><article><p>{}</p></article></div></div>", '<div class="content"><p>{}</p></div>', "<article><p>{}</p></article><p>between</p><article><p>{}</p></article>", "<p>{}</p>"]
+    pages, want = [], {}
+    for i in range(24):
+        parts = [text(), text()][: shapes[i % 6].count("{}")]
+        pages.append((i, "https://h.example/a", f"<html><body><nav>menu</nav>{shapes[i % 6].format(*parts)}<footer>end</footer></body></html>"))
+        want[i] = "\n\n".join(parts)
+    pages.append((99, "https://h.example/b", '<html><body><nav>menu</nav><article class="lone"><p>only here</p></article></body></html>'))
+    want[99] = "only here"
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in wrapper.main_texts(frame).collect()} == want
+
+
 def test_templates_do_not_depend_on_the_order(spark):
     trees = [wrapper.fold([wrapper.parse(PAGE.format(title=f"t{i}", a=i, body=f"<p>{i}</p>" * (i % 3) + "<ul><li>z</li></ul>" * (i % 2)))[0]]) for i in range(6)]
     one, two = trees[0], trees[-1]
