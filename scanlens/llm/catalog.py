@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanlens.llm import decontaminate, fingerprints, language, pieces, quality, setjoin, shards, spans, urlrules, wrapper
+from scanlens.llm import crosstok, decontaminate, fingerprints, language, lexical, lines, pieces, quality, setjoin, shards, spans, urlrules, wrapper
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -78,6 +78,22 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encoding_digests(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the lines that an earlier document holds."""
+    return lines.line_digests(table(spark, folder, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links between a byte-level and a SentencePiece vocabulary in every document."""
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return crosstok.alignment_measures(table(spark, folder, "documents"), *files)
+
+
 LLM_QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_decontamination": op2_decontamination,
@@ -89,6 +105,9 @@ LLM_QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_sharding": op9_sharding,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -96,4 +115,6 @@ LLM_ORACLES: dict[str, str] = {
     "op2_decontamination": decontaminate.CONTAMINATION_SQL,
     "op3_jaccard_join": setjoin.LINKS_SQL,
     "op8_url_filters": urlrules.JUDGE_SQL,
+    "op11_line_dedup": lines.LINES_SQL,
+    "op12_lexical_search": lexical.SEARCH_SQL,
 }
