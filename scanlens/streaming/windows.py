@@ -42,6 +42,51 @@ def slow_windows(
     return _windowed(flows, window, watermark, source, ts)
 
 
+_HALF = 1 << 15  # ports of one bitmap
+
+
+def _port_bits(port, high: bool):
+    """Bitmap of the ports below, or from, 32,768; others and NULL set no bit."""
+    value = F.col(port).cast("long") - (_HALF if high else 0)
+    return F.bitmap_construct_agg(F.when((value >= 0) & (value < _HALF), value))
+
+
+def pane_windows(flows: DataFrame, watermark: str = K.WATERMARK, source: str = "src_ip", ts: str = "ts") -> DataFrame:
+    """The sliding windows of ``slow_windows`` out of 10-second panes; closed windows only (append mode).
+
+    A flow is aggregated once, into its pane; closed panes then go to the six windows they
+    lie in.  Distinct ports are exact bitmaps of 65,536 bits, so a pane is one state row of
+    bounded size, however many flows and ports it has.
+    """
+    panes = (
+        flows.withWatermark(ts, watermark)
+        .groupBy(F.window(ts, f"{K.SLOW_WINDOW_SLIDE_SECONDS} seconds").alias("pane"), source)
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            _port_bits("dst_port", False).alias("low"),
+            _port_bits("dst_port", True).alias("high"),
+            F.count_if(F.col("syn_flag_count") > 0).alias("syn"),
+            F.sum("flow_iat_mean").alias("iat"),
+            F.count("flow_iat_mean").alias("iat_known"),
+        )
+        .withColumn("at", F.window_time("pane"))
+    )
+    window = F.window("at", f"{K.SLOW_WINDOW_SECONDS} seconds", f"{K.SLOW_WINDOW_SLIDE_SECONDS} seconds")
+    ports = F.bitmap_count(F.bitmap_or_agg("low")) + F.bitmap_count(F.bitmap_or_agg("high"))
+    return (
+        panes.groupBy(window.alias("w"), source)
+        .agg(
+            F.sum("n").alias("flows"),
+            ports.alias("distinct_ports"),
+            (F.sum("syn") / F.sum("n")).alias("syn_ratio"),
+            F.try_divide(F.sum("iat"), F.sum("iat_known")).alias("iat_mean"),
+        )
+        .select(
+            source, epoch_seconds(F.col("w.start")).alias("window_start"), "flows", "distinct_ports", "syn_ratio", "iat_mean"
+        )
+    )
+
+
 def sessions(flows: DataFrame, watermark: str = K.WATERMARK, source: str = "src_ip", ts: str = "ts") -> DataFrame:
     """Closed activity sessions per source with the time from their start to the first attack."""
     attack_at = F.min(F.when(F.col("label") == K.ATTACK_LABEL, F.col(ts)))
