@@ -1,18 +1,20 @@
 """Substring dedup by sliding sentence spans.
 
-Three kinds of spans are hashed: from each sentence, the shortest run of whole sentences
-that holds ``RUN_WORDS`` words; to each sentence, the shortest run that holds ``WINDOW``
-words and ends there; and anchors, rows of ``ANCHOR`` words at places that their own
-words choose, whatever the sentences.  Any ``WINDOW`` words in a row with ``DISTINCT`` different
-ones hold an anchor, so none of them stays in two places.  Spans are counted over all documents; what is inside
-any occurrence of a repeated span but the first is removed.  The first occurrence is the
-one with the smallest document id, then the earliest in the text.
+A text is cut into sentences, and sentences of more than ``PIECE`` words into pieces at
+places that their own words choose.  From every piece the shortest row of pieces with
+``RUN_WORDS`` words is hashed, with the rest of its last sentence if that is no more
+than a piece.  These runs are counted over all documents; what lies
+inside any occurrence of a repeated run but the first is removed.  The first occurrence
+is the one with the smallest document id, then the earliest in the text.
+
+Pieces depend on the words around them only, so a passage that is cut inside its
+sentences has the same pieces in both places but for ``PIECE`` words at each end.  As
+``3 * PIECE + RUN_WORDS`` is about 50, no 50 words in a row stay in two places.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,26 +24,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scanlens.llm.common import attach
-from scanlens.llm.setjoin import _cells, _marked
+from scanlens.llm.setjoin import _cells, _marked, _slices
 from scanlens.session import written
 
 #: A sentence ends after its full stops and the blanks that follow, or after a line break.
 BREAK = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])\s*|\s*\n\s*")
 #: Words a run has at least.  Shorter repeats (a licence line, a greeting) are left alone.
 RUN_WORDS = 25
-#: No row of so many words stays in a second place.
-WINDOW = 50
-#: Words of an anchor.  A repeated passage loses all but at most WINDOW - ANCHOR words at each end.
-ANCHOR = 38
-#: Different words that tell a passage from a few words said again and again.
-DISTINCT = 25
+#: Longer sentences are cut; no piece has more words.
+PIECE = 9
 #: Scripts written without blanks: every character is a word.
-_SOLO = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3001-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff01\uff1f\U00020000-\U0003ffff"
+_SOLO = "฀-໿က-႟ក-៿、-ヿ㐀-䶿一-鿿豈-﫿！？\U00020000-\U0003ffff"
 _WORD = re.compile(rf"[{_SOLO}]|[^\s{_SOLO}]+")
 #: Longer stretches without blanks are cut where their own last characters say so.
 LONG = 64
 #: Hashes of words that a task remembers.
 WORD_CACHE = 500_000
+_BASE = 0xD6E8FEB86659FD93
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -50,8 +49,8 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in zip(cuts, cuts[1:], strict=False) if b > a]
 
 
-def _pieces(word: str) -> list[int]:
-    """Ends of the pieces of a stretch without blanks."""
+def _parts(word: str) -> list[int]:
+    """Ends of the parts of a stretch without blanks."""
     if len(word) <= LONG:
         return [len(word)]
     ends = [k for k in range(4, len(word)) if xxhash.xxh3_64_intdigest(word[k - 4 : k]) % 16 == 0]
@@ -63,7 +62,7 @@ def word_spans(text: str) -> list[tuple[int, int]]:
     out = []
     for m in _WORD.finditer(text):
         a = m.start()
-        for e in _pieces(m[0]):
+        for e in _parts(m[0]):
             out.append((a, m.start() + e))
             a = m.start() + e
     return out
@@ -71,10 +70,11 @@ def word_spans(text: str) -> list[tuple[int, int]]:
 
 def _words(text: str) -> list[str]:
     """The words in lower case."""
-    words = text.split() if text.isascii() else _WORD.findall(text)
+    low = text.lower()
+    words = low.split() if text.isascii() else _WORD.findall(low)
     if max(map(len, words), default=0) > LONG:
         return [text[a:b].lower() for a, b in word_spans(text)]
-    return [w.lower() for w in words]
+    return words
 
 
 class _Hashes(dict):
@@ -85,88 +85,88 @@ class _Hashes(dict):
         return h
 
 
-def anchors(words: list[str], known: _Hashes | None = None) -> list[tuple[int, int, int]]:
-    """``(first word, -(word after the last), hash)`` of the anchors.
-
-    Of any ``WINDOW - ANCHOR + 1`` neighbouring rows of ``ANCHOR`` words those with the
-    smallest hash are taken; a shorter text has none.  Anchors that no window with
-    ``DISTINCT`` different words can hold are left out.
-    """
-    n = len(words) - ANCHOR + 1
-    span = WINDOW - ANCHOR + 1
-    if n < span:
-        return []
-    known = _Hashes() if known is None else known
-    one = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    h, size, done = None, 1, 0
-    while True:  # rows of ANCHOR words from rows of 1, 2, 4, ... words
-        if ANCHOR & size:
-            part = one[done : done + n]
-            h = part.copy() if h is None else _joined(h, part)
-            done += size
-        size *= 2
-        if size > ANCHOR:
-            break
-        half = size // 2
-        one = _joined(one[:-half], one[half:])
-    least = np.lib.stride_tricks.sliding_window_view(h, span).min(1)
-    taken = np.zeros(n, bool)
-    for k in range(span):
-        taken[k : k + len(least)] |= h[k : k + len(least)] == least
-    at = np.flatnonzero(taken)
-    found = zip(at.tolist(), h[at].view(np.int64).tolist(), strict=True)
-    return [(i, -i - ANCHOR, x) for i, x in found if len(set(words[i : i + ANCHOR])) >= DISTINCT - (WINDOW - ANCHOR)]
-
-
 def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     x = (a ^ (a >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + b
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(_BASE)
     return x ^ (x >> np.uint64(31))
 
 
-def runs(text: str, least: int = RUN_WORDS, known: _Hashes | None = None) -> tuple[int, list[tuple[int, int, int]]]:
-    """Number of sentences, and ``(first, last, hash)`` of the runs from each and to each sentence, and of the anchors.
+class _Powers:
+    """Powers of an odd number and of its inverse, modulo 2^64, as many as asked for."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > len(self.up):
+            size = 2 * n
+            make = lambda x: np.concatenate([[np.uint64(1)], np.cumprod(np.full(size - 1, x, np.uint64))])
+            self.up, self.down = make(_BASE), make(pow(_BASE, -1, 2**64))
+        return self.up[:n], self.down[:n]
+
+
+_POWERS = _Powers()
+
+
+def piece_starts(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """First words of the pieces, given hashes of the words and the first words of the sentences.
+
+    Of any ``PIECE`` neighbouring places the one whose two words have the smallest hash
+    is a cut, if it lies in a sentence of more than ``PIECE`` words.
+    """
+    n = len(hashes)
+    first = np.zeros(n, bool)
+    first[starts] = True
+    if n > PIECE:
+        pair = _joined(hashes, np.append(hashes[1:], np.uint64(0)))
+        least = np.lib.stride_tricks.sliding_window_view(pair, PIECE).min(1)
+        taken = np.zeros(n, bool)
+        for k in range(PIECE):
+            taken[k : k + len(least)] |= pair[k : k + len(least)] == least
+        sizes = np.diff(np.append(starts, n))
+        first |= taken & np.repeat(sizes > PIECE, sizes)
+    return np.flatnonzero(first)
+
+
+def runs(text: str, least: int = RUN_WORDS, known: _Hashes | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, word after the last, and hash of the run from each piece.
 
     Hashes ignore case and the width of blanks.
     """
-    words = [_words(text[a:b]) for a, b in sentences(text)]
-    flat = [w for s in words for w in s]
-    at = [0]
-    for s in words:
-        at.append(at[-1] + len(s))
-
-    def row(i: int, end: int) -> tuple[int, int, int]:
-        return i, end, xxhash.xxh3_64_intdigest(" ".join(flat[at[i] : at[end + 1]])) - 2**63
-
-    out, end = [], 0
-    for i in range(len(words)):
-        end = max(end, i)
-        while end < len(words) and at[end + 1] - at[i] < least:
-            end += 1
-        if end == len(words):
-            break
-        if words[i]:
-            out.append(row(i, end))
-    first = 0
-    for end in range(len(words)):
-        while first < end and at[end + 1] - at[first + 1] >= WINDOW:
-            first += 1
-        if words[end] and at[end + 1] - at[first] >= WINDOW:
-            out.append(row(first, end))
-    return len(words), list(dict.fromkeys(out)) + anchors(flat, known)
+    known = _Hashes() if known is None else known
+    words: list[str] = []
+    starts: list[int] = []
+    for a, b in sentences(text):
+        own = _words(text[a:b])
+        if own:
+            starts.append(len(words))
+            words += own
+    n = len(words)
+    if n < least:
+        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
+    h = np.fromiter(map(known.__getitem__, words), np.uint64, n)
+    first = piece_starts(h, np.array(starts))
+    edges = np.append(first, n)
+    at = np.searchsorted(edges, first + least)
+    first = first[at < len(edges)]
+    end = edges[at[at < len(edges)]]
+    stops = np.append(starts, n)  # a run that ends shortly before its sentence does goes to the end of it
+    stop = stops[np.searchsorted(stops, end)]
+    end = np.where(stop - end <= PIECE, stop, end)
+    up, down = _POWERS.of(n)
+    total = np.concatenate([[np.uint64(0)], np.cumsum(h * up)])
+    return first, end, _joined((total[end] - total[first]) * down[first], (end - first).astype(np.uint64))
 
 
 def _run_rows(docs: DataFrame, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Hashes()
-        for b in batches:
-            ids, prints, rows = b.column("id").to_pylist(), b.column("print").to_pylist(), [[], [], [], [], []]
-            for i, p, t in zip(ids, prints, b.column("text").to_pylist(), strict=True):
-                for first, last, h in runs(t or "", least, known)[1]:
-                    for column, value in zip(rows, (h, i, p, first, last), strict=True):
-                        column.append(value)
-            kinds = (pa.int64(), b.schema.field("id").type, pa.int64(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds, strict=True)], names=["run", "id", "print", "first", "last"])
+        for b in _slices(batches, 250):
+            found = [runs(t or "", least, known) for t in b.column("text").to_pylist()]
+            row = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
+            first, end, h = (np.concatenate([f[k] for f in found]) for k in range(3))
+            columns = [pa.array(h.view(np.int64)), b.column("id").take(row), b.column("print").take(row), pa.array(first.astype(np.int32)), pa.array(end.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=["run", "id", "print", "first", "last"])
 
     return docs.mapInArrow(run, f"run long, id {dict(docs.dtypes)['id']}, print long, first int, last int")
 
@@ -183,22 +183,24 @@ def _maybe_in(rows: DataFrame, repeated: DataFrame) -> DataFrame:
 
 
 def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = RUN_WORDS) -> DataFrame:
-    """``(id, print, cut)`` for the documents that lose something; ``cut`` lists sentence ranges, and word ranges with a negative end.
+    """``(id, print, cut)`` for the documents that lose something; ``cut`` lists ranges of words.
 
     ``print`` is a hash of the text: rows with equal id and text are one document.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     base = docs.select(F.col(key).alias("id"), F.xxhash64(body).alias("print"), body.alias("text"))
     rows = written(_run_rows(base, least), "runs")
-    place = F.struct(F.col("id").isNull().alias("last"), "id", "print", "first")
+    often = rows.groupBy("run").count().where("count > 1").select("run")
+    near = written(_maybe_in(rows, written(often, "often")), "near")
+    place = F.struct(F.col("id").isNull().alias("late"), "id", "print", "first")
     # repeated rows count as well; they are their own first place and drop out below
-    repeated = rows.groupBy("run").agg(F.min(place).alias("low"), F.count("*").alias("n")).where("n > 1").select("run", "low")
+    repeated = near.groupBy("run").agg(F.min(F.struct(place.alias("at"), F.col("last"))).alias("low"), F.count("*").alias("n"))
     # written, so that the join has an exchange of its own, which the engine can split where one run is everywhere
-    repeated = written(repeated, "repeated")
-    later = attach(_maybe_in(rows, repeated), repeated, ["run"], "inner").where(place != F.col("low"))
-    # an anchor that overlaps its own first place (a text that repeats a few words) leaves that place whole
-    own = F.col("id").eqNullSafe(F.col("low.id")) & (F.col("print") == F.col("low.print")) & (F.col("last") < 0)
-    later = later.withColumn("first", F.when(own, F.greatest(F.col("first"), F.col("low.first") + ANCHOR)).otherwise(F.col("first")))
+    repeated = written(repeated.where("n > 1").select("run", F.col("low.at").alias("low"), F.col("low.last").alias("low_last")), "repeated")
+    later = attach(near, repeated, ["run"], "inner").where(place != F.col("low"))
+    # a run that overlaps its own first place (a text that repeats a few words) leaves that place whole
+    own = F.col("id").eqNullSafe(F.col("low.id")) & (F.col("print") == F.col("low.print"))
+    later = later.withColumn("first", F.when(own, F.greatest("first", "low_last")).otherwise(F.col("first")))
     return later.groupBy("id", "print").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("cut"))
 
 
@@ -219,9 +221,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", lea
     joined = mine.join(cuts, F.col("__own").eqNullSafe(F.col("__print")) & F.col(key).eqNullSafe(F.col("__id")), "left").select(*names, "__cut")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             out = [_kept(t, c) for t, c in zip(b.column(text).to_pylist(), b.column("__cut").to_pylist(), strict=True)]
-            n, gone, kept = zip(*out, strict=True) if out else ((), (), ())
+            n, gone, kept = zip(*out, strict=True)
             new = [pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *new], names=[*names, *added])
 
@@ -230,42 +232,43 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", lea
 
 
 def _kept(text: str | None, cut: list[dict] | None) -> tuple[int, int, str | None]:
+    """Sentences, sentences that lose words, and the text without the cut ranges of words."""
     own = sentences(text or "")
     if not cut:
         return len(own), 0, text
-    gone = {i for c in cut if c["last"] >= 0 for i in range(c["first"], c["last"] + 1)}
-    ranges = [(c["first"], -c["last"]) for c in cut if c["last"] < 0]
-    lost: dict[int, set[int]] = {}  # sentence: its lost words
-    spans = word_spans(text) if ranges else []
-    starts = [a for a, _ in own]
-    upto = 0
-    for first, end in sorted(ranges):
-        for k in range(max(first, upto), end):
-            lost.setdefault(bisect_right(starts, spans[k][0]) - 1, set()).add(k)
-        upto = max(upto, end)
-    parts, at, touched = [], 0, gone | lost.keys()
-    for i, (a, b) in enumerate(own):
-        mine = []
-        while at < len(spans) and spans[at][0] < b:
-            mine.append(at)
-            at += 1
-        if i in gone or i in lost and len(lost[i]) == len(mine):
-            continue
-        parts.append(_without(text, a, b, [(spans[k], k in lost[i]) for k in mine]) if i in lost else text[a:b])
+    ranges: list[list[int]] = []
+    for c in cut:  # in order of their first words
+        if ranges and c["first"] <= ranges[-1][1]:
+            ranges[-1][1] = max(ranges[-1][1], c["last"])
+        else:
+            ranges.append([c["first"], c["last"]])
+    spans = word_spans(text)
+    begin = np.array([a for a, _ in spans])
+    places = np.array([a for a, _ in own])
+    sentence = np.searchsorted(places, begin, side="right") - 1
+    gone = np.zeros(len(spans), bool)
+    parts, at = [], 0
+    for first, last in ranges:
+        gone[first:last] = True
+        start, stop = spans[first][0], len(text) if last == len(spans) else spans[last][0]
+        edge = int(np.searchsorted(sentence, sentence[first], side="right"))
+        if edge <= last and first and sentence[first - 1] == sentence[first]:
+            # words go with the blanks behind them; a sentence that loses its end keeps the blanks that close it
+            bare, close = text[at:start].rstrip(), text[spans[edge - 1][1] : spans[edge][0] if edge < len(spans) else len(text)]
+            parts += [bare, close or text[at + len(bare) : start]]
+        else:
+            parts.append(text[at:start])
+        at = stop
+    parts.append(text[at:])
     kept = "".join(parts)
-    return len(own), len(touched), kept.rstrip() if len(own) - 1 in touched else kept
-
-
-def _without(text: str, a: int, b: int, words: list[tuple[tuple[int, int], bool]]) -> str:
-    """A sentence without its lost words; each goes with the blanks behind it, those behind the sentence stay."""
-    edges = [a, *(s for (s, _), _ in words[1:]), words[-1][0][1]]
-    left = "".join(text[x:y] for x, y, (_, away) in zip(edges, edges[1:], words, strict=False) if not away)
-    bare = left.rstrip()
-    return bare + (text[edges[-1] : b] or left[len(bare) :])
+    return len(own), len(set(sentence[gone].tolist())), kept.rstrip() if gone[-1] else kept
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The documents with repeated sentences removed and ``n_chars`` counted anew; emptied ones go."""
+    """The documents with repeated sentences removed and ``n_chars`` counted anew; emptied ones go.
+
+    Other columns are unchanged.  Null and empty texts stay.
+    """
     found = remove_repeats(docs)
     kept = found.where("n_removed = 0 or length(trim(kept_text)) > 0").withColumn("text", F.col("kept_text"))
     if "n_chars" in docs.columns:

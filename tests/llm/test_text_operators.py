@@ -13,25 +13,49 @@ import pytest
 from scanlens.llm import fingerprints, shards, spans, urlrules
 
 
+def _plain_pieces(words: list[str], sentence: list[int]) -> list[int]:
+    """First words of the pieces, place by place."""
+    h = [spans._Hashes()[w] for w in words]
+    pair = [int(spans._joined(np.array([x], np.uint64), np.array([y], np.uint64))[0]) for x, y in zip(h, [*h[1:], 0], strict=False)]
+    cuts = {i for i in range(len(words)) if i == 0 or sentence[i] != sentence[i - 1]}
+    for k in range(len(words) - spans.PIECE + 1):
+        row = pair[k : k + spans.PIECE]
+        cuts |= {k + j for j, x in enumerate(row) if x == min(row) and sentence.count(sentence[k + j]) > spans.PIECE}
+    return sorted(cuts)
+
+
 def _repeats(docs: list[tuple[int, str]], least: int) -> dict[int, str]:
     """Place by place: a run is removed where the same words were a run before."""
-    seen: dict[str, tuple[int, int]] = {}
-    gone = defaultdict(set)
-    for i, text in sorted(docs):
-        own = spans.sentences(text)
-        words = [text[a:b].lower().split() for a, b in own]
-        for first in range(len(own)):
-            last = next((e for e in range(first, len(own)) if sum(map(len, words[first : e + 1])) >= least), None)
-            if last is None or not words[first]:
-                continue
-            key = " ".join(w for s in words[first : last + 1] for w in s)
-            if seen.setdefault(key, (i, first)) != (i, first):
-                gone[i] |= set(range(first, last + 1))
+    seen: dict[str, tuple[int, int, int]] = {}
     out = {}
-    for i, text in docs:
+    for i, text in sorted(docs):
         own = spans.sentences(text)
-        kept = "".join(text[a:b] for k, (a, b) in enumerate(own) if k not in gone[i])
-        out[i] = kept.rstrip() if gone[i] and len(own) - 1 in gone[i] else kept
+        places = [(a + x, a + y, k) for k, (a, b) in enumerate(own) for x, y in spans.word_spans(text[a:b])]
+        words = [text[x:y].lower() for x, y, _ in places]
+        cuts = _plain_pieces(words, [k for *_, k in places])
+        gone: set[int] = set()
+        for first in cuts:
+            end = next((e for e in [*cuts, len(words)] if e - first >= least), None)
+            if end is not None:
+                stop = next(e for e in range(end, len(words) + 1) if e == len(words) or places[e][2] != places[e - 1][2])
+                end = stop if stop - end <= spans.PIECE else end
+                where = seen.setdefault(" ".join(words[first:end]), (i, first, end))
+                if where != (i, first, end):
+                    gone |= set(range(max(first, where[2]) if where[0] == i else first, end))
+        kept = []
+        for k, (a, b) in enumerate(own):
+            mine = [n for n, (*_, s) in enumerate(places) if s == k]
+            left = [n for n in mine if n not in gone]
+            if len(left) == len(mine):
+                kept.append(text[a:b])
+            elif left:
+                ends = [places[n + 1][0] if n + 1 in mine else b for n in mine]
+                parts = [text[places[n][0] if n != mine[0] else a : ends[j]] for j, n in enumerate(mine) if n not in gone]
+                if mine[-1] in gone:
+                    parts[-1] = parts[-1].rstrip() if text[places[mine[-1]][1] : b] else parts[-1]
+                    parts.append(text[places[mine[-1]][1] : b])
+                kept.append("".join(parts))
+        out[i] = "".join(kept).rstrip() if len(words) - 1 in gone else "".join(kept)
     return out
 
 
@@ -41,6 +65,8 @@ def test_substring_dedup_against_brute_force(spark):
     docs = [(i, "".join(draw.choice(pool) for _ in range(draw.randint(0, 9)))) for i in range(50)]
     passage = "".join(pool[:6])
     docs += [(100 + k, f"Own start {k}. {passage}Own end {k}.") for k in range(8)]
+    docs += [(200 + k, " ".join(draw.choice(["and", f"w{draw.randrange(40)}", "stop.", "über"]) for _ in range(150)) + "\n") for k in range(12)]
+    docs += [(220 + k, f"Word {k} " + docs[-3][1][40 * k :] + "。漢字漢字" * 9) for k in range(5)]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     got = {r.doc_id: r.kept_text for r in spans.remove_repeats(frame, least=10).collect()}
     assert got == _repeats(docs, 10)
@@ -208,14 +234,40 @@ def test_no_window_of_fifty_words_stays_twice(spark):
         assert not set(clean.split()) & set(after[10 + k].split())  # a cleanly cut passage goes whole
         for i, passage in ((k, cut), (20 + k, bare)):
             text = dict(docs)[i]
-            assert sum(w in passage for w in after[i].split()) <= 2 * (spans.WINDOW - spans.ANCHOR)
+            assert sum(w in passage for w in after[i].split()) <= 4 * spans.PIECE
             assert [w for w in text.split() if w not in passage] == [w for w in after[i].split() if w not in passage]
-    assert rows[60].n_removed == rows[61].n_removed == 0  # a few words said again and again are no passage
+    assert after[60].split() == ["a", "b"] * (len(after[60].split()) // 2) and len(after[60].split()) < 2 * spans.RUN_WORDS
+    assert rows[61].n_removed == 0  # too short for a run
 
 
-def test_anchor_leaves_its_own_first_place(spark):
+def test_a_run_leaves_its_own_first_place(spark):
     draw = random.Random(3)
     line = [f"w{draw.randrange(10**9)}" for _ in range(30)]
     frame = spark.createDataFrame([(1, " ".join(line * 6))], "doc_id long, text string")
     kept = spans.remove_repeats(frame).first().kept_text.split()
-    assert kept[:30] == line and len(kept) < 2 * spans.WINDOW
+    assert kept[:30] == line and len(kept) < 100
+
+
+def test_few_different_words_are_found_too(spark):
+    """A passage of ten different words, cut inside its sentences, does not stay twice."""
+    draw = random.Random(5)
+    words = [f"w{i}" for i in range(10)]
+    passage = [draw.choice(words) for _ in range(200)]
+    docs = [(k, " ".join([*(f"own{k}_{j}" for j in range(20 + k)), *passage, *(f"end{k}_{j}" for j in range(30))])) for k in range(4)]
+    rows = spans.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert _second_windows(docs, {r.doc_id: r.kept_text for r in rows}) == []
+
+
+def test_documents_without_a_shared_passage_lose_their_own_repeats_only(docs):
+    """What clean documents lose are runs that they hold twice themselves."""
+    text = {r.doc_id: r.text or "" for r in docs.collect()}
+    words = {i: [t[a:b].lower() for a, b in spans.word_spans(t)] for i, t in text.items()}
+    holders: dict[str, set[int]] = defaultdict(set)
+    for i, w in words.items():
+        for k in range(len(w) - spans.RUN_WORDS + 1):
+            holders[" ".join(w[k : k + spans.RUN_WORDS])].add(i)
+    shared = {i for own in holders.values() if len(own) > 1 for i in own}
+    lost = {r.doc_id for r in spans.remove_repeats(docs).collect() if r.n_removed}
+    for i in lost - shared:
+        rows = Counter(" ".join(words[i][k : k + spans.RUN_WORDS]) for k in range(len(words[i]) - spans.RUN_WORDS + 1))
+        assert rows.most_common(1)[0][1] > 1
