@@ -23,7 +23,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanlens.llm.common import attach
 from scanlens.llm.setjoin import _cells, _marked, _slices
 from scanlens.session import written
 
@@ -38,8 +37,6 @@ _SOLO = "฀-໿က-႟ក-៿、-ヿ㐀-䶿一-鿿豈-﫿！？\U00020000-\U000
 _WORD = re.compile(rf"[{_SOLO}]|[^\s{_SOLO}]+")
 #: Longer stretches without blanks are cut where their own last characters say so.
 LONG = 64
-#: Hashes of words that a task remembers.
-WORD_CACHE = 500_000
 _BASE = 0xD6E8FEB86659FD93
 
 
@@ -68,21 +65,12 @@ def word_spans(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def _words(text: str) -> list[str]:
-    """The words in lower case."""
-    low = text.lower()
-    words = low.split() if text.isascii() else _WORD.findall(low)
-    if max(map(len, words), default=0) > LONG:
-        return [text[a:b].lower() for a, b in word_spans(text)]
-    return words
-
-
-class _Hashes(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) >= WORD_CACHE:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
+#: Texts with these take the plain way to their words: scripts without blanks, blanks beyond ASCII.
+_ODD = re.compile(rf"[{_SOLO}\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_BLANK = np.zeros(256, bool)
+_BLANK[[*range(9, 14), *range(28, 33)]] = True
+_STOP = np.zeros(256, bool)
+_STOP[[33, 46, 63]] = True
 
 
 def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -108,6 +96,55 @@ class _Powers:
 _POWERS = _Powers()
 
 
+def _hashed(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of stretches of bytes, or of word hashes: differences of one sum of products."""
+    up, down = _POWERS.of(len(raw))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up)])
+    return _joined((total[end] - total[begin]) * down[begin], (end - begin).astype(np.uint64))
+
+
+def word_table(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words in lower case, and the first words of the sentences.
+
+    Words and sentences are those of ``word_spans`` and ``sentences`` (without sentences
+    that hold no word).
+    """
+    none = np.zeros(0, np.int64)
+    if not text:
+        return none.astype(np.uint64), none
+    if text.isascii() or not _ODD.search(text):
+        raw = np.frombuffer(text.lower().encode(), np.uint8)
+        blank = _BLANK[raw]
+        edge = np.flatnonzero(np.diff(blank, prepend=True, append=True))
+        begin, end = edge[::2], edge[1::2]
+        if not len(begin):
+            return none.astype(np.uint64), none
+        if (end - begin).max() <= LONG:
+            lines = np.cumsum(raw == 10)
+            opens = _STOP[raw[end[:-1] - 1]] | (lines[begin[1:]] > lines[end[:-1] - 1])
+            return _hashed(raw, begin, end), np.flatnonzero(np.append(True, opens))
+    words, starts = [], []
+    for a, b in sentences(text):
+        own = [text[x + a : y + a].lower().encode() for x, y in word_spans(text[a:b])]
+        if own:
+            starts.append(len(words))
+            words += own
+    if not words:
+        return none.astype(np.uint64), none
+    end = np.cumsum([len(w) for w in words])
+    return _hashed(np.frombuffer(b"".join(words), np.uint8), np.append(0, end[:-1]), end), np.array(starts)
+
+
+def _windowed(f: np.ufunc, x: np.ndarray) -> np.ndarray:
+    """Minimum or maximum of every ``PIECE`` neighbours, by doubling."""
+    size = 1
+    n = len(x) - PIECE + 1
+    while 2 * size <= PIECE:
+        x = f(x[:-size], x[size:])
+        size *= 2
+    return f(x[:n], x[PIECE - size : PIECE - size + n])
+
+
 def piece_starts(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """First words of the pieces, given hashes of the words and the first words of the sentences.
 
@@ -119,33 +156,24 @@ def piece_starts(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     first[starts] = True
     if n > PIECE:
         pair = _joined(hashes, np.append(hashes[1:], np.uint64(0)))
-        least = np.lib.stride_tricks.sliding_window_view(pair, PIECE).min(1)
-        taken = np.zeros(n, bool)
-        for k in range(PIECE):
-            taken[k : k + len(least)] |= pair[k : k + len(least)] == least
+        least = _windowed(np.minimum, pair)
+        edge = np.zeros(PIECE - 1, np.uint64)
+        taken = _windowed(np.maximum, np.concatenate([edge, least, edge])) == pair
         sizes = np.diff(np.append(starts, n))
         first |= taken & np.repeat(sizes > PIECE, sizes)
     return np.flatnonzero(first)
 
 
-def runs(text: str, least: int = RUN_WORDS, known: _Hashes | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def runs(text: str, least: int = RUN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First word, word after the last, and hash of the run from each piece.
 
     Hashes ignore case and the width of blanks.
     """
-    known = _Hashes() if known is None else known
-    words: list[str] = []
-    starts: list[int] = []
-    for a, b in sentences(text):
-        own = _words(text[a:b])
-        if own:
-            starts.append(len(words))
-            words += own
-    n = len(words)
+    h, starts = word_table(text)
+    n = len(h)
     if n < least:
         return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
-    h = np.fromiter(map(known.__getitem__, words), np.uint64, n)
-    first = piece_starts(h, np.array(starts))
+    first = piece_starts(h, starts)
     edges = np.append(first, n)
     at = np.searchsorted(edges, first + least)
     first = first[at < len(edges)]
@@ -153,51 +181,46 @@ def runs(text: str, least: int = RUN_WORDS, known: _Hashes | None = None) -> tup
     stops = np.append(starts, n)  # a run that ends shortly before its sentence does goes to the end of it
     stop = stops[np.searchsorted(stops, end)]
     end = np.where(stop - end <= PIECE, stop, end)
-    up, down = _POWERS.of(n)
-    total = np.concatenate([[np.uint64(0)], np.cumsum(h * up)])
-    return first, end, _joined((total[end] - total[first]) * down[first], (end - first).astype(np.uint64))
+    return first, end, _hashed(h, first, end)
 
 
-def _run_rows(docs: DataFrame, least: int) -> DataFrame:
+def _run_rows(docs: DataFrame, least: int, cells: np.ndarray | None = None) -> DataFrame:
+    """Hashes of all runs; with a bitmap of cells, the runs in marked cells with their places."""
+    held = None if cells is None else docs.sparkSession.sparkContext.broadcast(cells)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Hashes()
         for b in _slices(batches, 250):
-            found = [runs(t or "", least, known) for t in b.column("text").to_pylist()]
-            row = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
+            found = [runs(t or "", least) for t in b.column("text").to_pylist()]
             first, end, h = (np.concatenate([f[k] for f in found]) for k in range(3))
-            columns = [pa.array(h.view(np.int64)), b.column("id").take(row), b.column("print").take(row), pa.array(first.astype(np.int32)), pa.array(end.astype(np.int32))]
+            if held is None:
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["run"])
+                continue
+            row, keep = np.repeat(np.arange(len(found)), [len(f[0]) for f in found]), _marked(held.value, h)
+            row = pa.array(row[keep])
+            columns = [pa.array(h[keep].view(np.int64)), b.column("id").take(row), b.column("print").take(row), pa.array(first[keep].astype(np.int32)), pa.array(end[keep].astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, names=["run", "id", "print", "first", "last"])
 
-    return docs.mapInArrow(run, f"run long, id {dict(docs.dtypes)['id']}, print long, first int, last int")
-
-
-def _maybe_in(rows: DataFrame, repeated: DataFrame) -> DataFrame:
-    """The rows of repeated runs, and a few others: a bitmap of cells saves the rest the way through the join."""
-    held = rows.sparkSession.sparkContext.broadcast(_cells(repeated.select(F.col("run").alias("token"))))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array(_marked(held.value, b.column("run").to_numpy().view(np.uint64))))
-
-    return rows.mapInArrow(run, rows.schema)
+    places = "" if cells is None else f", id {dict(docs.dtypes)['id']}, print long, first int, last int"
+    return docs.mapInArrow(run, f"run long{places}")
 
 
 def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = RUN_WORDS) -> DataFrame:
     """``(id, print, cut)`` for the documents that lose something; ``cut`` lists ranges of words.
 
-    ``print`` is a hash of the text: rows with equal id and text are one document.
+    ``print`` is a hash of the text: rows with equal id and text are one document.  Hashes
+    of runs travel alone first; a bitmap of the repeated ones (8 MB) lets few others
+    send their places.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     base = docs.select(F.col(key).alias("id"), F.xxhash64(body).alias("print"), body.alias("text"))
-    rows = written(_run_rows(base, least), "runs")
-    often = rows.groupBy("run").count().where("count > 1").select("run")
-    near = written(_maybe_in(rows, written(often, "often")), "near")
+    often = written(_run_rows(base, least).groupBy("run").count().where("count > 1").select(F.col("run").alias("token")), "often")
+    near = written(_run_rows(base, least, _cells(often)), "near")
     place = F.struct(F.col("id").isNull().alias("late"), "id", "print", "first")
     # repeated rows count as well; they are their own first place and drop out below
     repeated = near.groupBy("run").agg(F.min(F.struct(place.alias("at"), F.col("last"))).alias("low"), F.count("*").alias("n"))
     # written, so that the join has an exchange of its own, which the engine can split where one run is everywhere
     repeated = written(repeated.where("n > 1").select("run", F.col("low.at").alias("low"), F.col("low.last").alias("low_last")), "repeated")
-    later = attach(near, repeated, ["run"], "inner").where(place != F.col("low"))
+    later = near.join(repeated, "run").where(place != F.col("low"))
     # a run that overlaps its own first place (a text that repeats a few words) leaves that place whole
     own = F.col("id").eqNullSafe(F.col("low.id")) & (F.col("print") == F.col("low.print"))
     later = later.withColumn("first", F.when(own, F.greatest("first", "low_last")).otherwise(F.col("first")))
@@ -207,7 +230,8 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", least: in
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = RUN_WORDS) -> DataFrame:
     """Add ``n_sentences``, ``n_removed``, ``kept_text`` to every row; other columns pass through.
 
-    Columns of these names are replaced.  A null text has no sentences and stays null.
+    Columns of these names are replaced.  A null text has no sentences and stays null;
+    sentences that hold no word do not count.
     Rows with equal id and text count as one document, so neither is the other's repeat;
     rows of one id with different texts are told apart.  A null id comes after all
     others.  A run that repeats inside one document is removed there as well.
@@ -233,9 +257,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", lea
 
 def _kept(text: str | None, cut: list[dict] | None) -> tuple[int, int, str | None]:
     """Sentences, sentences that lose words, and the text without the cut ranges of words."""
-    own = sentences(text or "")
+    starts = word_table(text or "")[1]
     if not cut:
-        return len(own), 0, text
+        return len(starts), 0, text
     ranges: list[list[int]] = []
     for c in cut:  # in order of their first words
         if ranges and c["first"] <= ranges[-1][1]:
@@ -243,9 +267,7 @@ def _kept(text: str | None, cut: list[dict] | None) -> tuple[int, int, str | Non
         else:
             ranges.append([c["first"], c["last"]])
     spans = word_spans(text)
-    begin = np.array([a for a, _ in spans])
-    places = np.array([a for a, _ in own])
-    sentence = np.searchsorted(places, begin, side="right") - 1
+    sentence = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(spans))))
     gone = np.zeros(len(spans), bool)
     parts, at = [], 0
     for first, last in ranges:
@@ -261,7 +283,7 @@ def _kept(text: str | None, cut: list[dict] | None) -> tuple[int, int, str | Non
         at = stop
     parts.append(text[at:])
     kept = "".join(parts)
-    return len(own), len(set(sentence[gone].tolist())), kept.rstrip() if gone[-1] else kept
+    return len(starts), len(np.unique(sentence[gone])), kept.rstrip() if gone[-1] else kept
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:

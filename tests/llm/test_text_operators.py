@@ -15,7 +15,8 @@ from scanlens.llm import fingerprints, shards, spans, urlrules
 
 def _plain_pieces(words: list[str], sentence: list[int]) -> list[int]:
     """First words of the pieces, place by place."""
-    h = [spans._Hashes()[w] for w in words]
+    raw = [np.frombuffer(w.encode(), np.uint8) for w in words]
+    h = [spans._hashed(x, np.array([0]), np.array([len(x)]))[0] for x in raw]
     pair = [int(spans._joined(np.array([x], np.uint64), np.array([y], np.uint64))[0]) for x, y in zip(h, [*h[1:], 0], strict=False)]
     cuts = {i for i in range(len(words)) if i == 0 or sentence[i] != sentence[i - 1]}
     for k in range(len(words) - spans.PIECE + 1):
@@ -271,3 +272,18 @@ def test_documents_without_a_shared_passage_lose_their_own_repeats_only(docs):
     for i in lost - shared:
         rows = Counter(" ".join(words[i][k : k + spans.RUN_WORDS]) for k in range(len(words[i]) - spans.RUN_WORDS + 1))
         assert rows.most_common(1)[0][1] > 1
+
+
+def test_word_tables_agree_with_spans(docs, odd):
+    """The fast way and the plain way find the same words and sentences."""
+    texts = [r.text or "" for r in [*docs.collect(), *odd.collect()]]
+    texts += ["A b.\nC  d! e? f\x1cg", "\n\n x\ty.z \n", " . ! ", "İstanbul ΑΣ. ß\u00a0x", "漢字。漢！ a b。c", "x" * 65 + " y. z", "é" * 40 + " end. É b"]
+    for t in texts:
+        own = [[t[x + a : y + a].lower() for x, y in spans.word_spans(t[a:b])] for a, b in spans.sentences(t)]
+        own = [w for w in own if w]
+        h, starts = spans.word_table(t)
+        words = [w for s in own for w in s]
+        assert starts.tolist() == [sum(map(len, own[:k])) for k in range(len(own))] and len(h) == len(words)
+        for w, x in zip(words, h, strict=True):
+            raw = np.frombuffer(w.encode(), np.uint8)
+            assert spans._hashed(raw, np.array([0]), np.array([len(raw)]))[0] == x
