@@ -8,7 +8,7 @@ from scanlens import constants as K
 from scanlens.catalog.registry import FLOWS_SQL, query, rounded
 from scanlens.functions import labels as L
 from scanlens.functions.scalars import epoch_seconds
-from scanlens.operators import lookups, soc, windows
+from scanlens.operators import asof, lookups, soc, windows
 from scanlens.session import spread
 from scanlens.sources import scans
 from scanlens.sources.flows_view import flows, table
@@ -341,3 +341,34 @@ def log_details(spark, folder):
         kept["k"].alias("k_text"),
         F.to_json(kept).alias("details_json"),
     )
+
+
+_ROTATION_LOG_SQL = """r AS (SELECT ts, max(CAST(1024 + (event_id * 7919) % 64000 AS INTEGER)) AS active_port, count(*) AS n
+    FROM flows WHERE event_type = 'purchase' AND event_id % 7 = 0 GROUP BY ts)"""
+
+
+@query(
+    "active_port",
+    f"""WITH {FLOWS_SQL}, {_ROTATION_LOG_SQL} SELECT flow_id, r.active_port,
+    CAST(coalesce(abs(CAST(dst_port AS INTEGER) - r.active_port), 0) AS INTEGER) AS mtd_port_delta
+    FROM flows ASOF LEFT JOIN r ON flows.ts >= r.ts""",
+)
+def active_port(spark, folder):
+    """Port active at every flow's time, out of rotations logged at irregular times."""
+    source = flows(spark, folder)
+    rotations = source.where("event_type = 'purchase' AND event_id % 7 = 0").select("ts", (F.lit(1024) + (F.col("event_id") * 7919) % 64000).cast("int").alias("active_port"))
+    return asof.with_active_port(source, rotations).select("flow_id", "active_port", "mtd_port_delta")
+
+
+@query(
+    "last_block_before",
+    f"""WITH {FLOWS_SQL}, s AS (SELECT *, CASE WHEN k < 60 THEN 'hot' ELSE src_ip END AS source FROM flows),
+    b AS (SELECT source, ts, max(event_id) AS block FROM s WHERE event_type = 'error' GROUP BY source, ts)
+    SELECT s.flow_id, b.block FROM s ASOF LEFT JOIN b ON s.source = b.source AND s.ts >= b.ts""",
+)
+def last_block_before(spark, folder):
+    """Last block of a flow's source at its time; one source has most of the flows."""
+    source = F.when(F.col("k") < 60, "hot").otherwise(F.col("src_ip"))
+    named = flows(spark, folder).withColumn("source", source)
+    blocks = named.where("event_type = 'error'").select("source", "ts", F.col("event_id").alias("block"))
+    return asof.as_of_join(named, blocks, ["block"], by=["source"]).select("flow_id", "block")

@@ -30,7 +30,7 @@ def cross_validate(
         train = numbered.where(F.col("fold") != fold).drop("fold")
         if oversample:
             train = written(smote(train, features, label, key=key), "cv-train")
-        model = trees.fit(classifier, train, features, label)
+        model = trees.fit(classifier, train, features, label, key)
         scored.append(trees.predict(model, numbered.where(F.col("fold") == fold)).select("fold", label, "prediction"))
     together = reduce(lambda a, b: a.unionByName(b), scored)
     return evaluate.rates(evaluate.confusion(together, label, by=["fold"]))

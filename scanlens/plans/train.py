@@ -8,13 +8,14 @@ from __future__ import annotations
 import argparse
 from dataclasses import dataclass, field, replace
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlens import constants as K
 from scanlens.functions import labels as L
 from scanlens.operators import clean, engineer, evaluate, trees
+from scanlens.operators.boost import BoostedModel
+from scanlens.operators.forest import ForestModel
 from scanlens.operators.iforest import IsolationForest, fit_isolation_forest
 from scanlens.operators.preprocess import Preprocessing, apply_preprocessing, fit_preprocessing
 from scanlens.operators.scale import Scaler, fit_scaler
@@ -25,13 +26,14 @@ from scanlens.sources.files import path_exists, read_flows_csv, read_names, to_s
 
 FOREST, BOOSTED, ISOLATION = "Random Forest", "Boosted Trees", "Isolation Forest"
 _FOLDERS = {FOREST: "random_forest", BOOSTED: "boosted_trees"}
+_KINDS = {FOREST: ForestModel, BOOSTED: BoostedModel}
 
 
 @dataclass(frozen=True)
 class Growth:
     """How trees grow; None takes the default of the variant."""
 
-    depth: int | None = None  # of the forest; at most 30
+    depth: int | None = None  # of the forest
     bins: int | None = None
     min_leaf_rows: int | None = None
     trees: int | None = None
@@ -50,7 +52,7 @@ class Trained:
     features: list[str]
     preprocessing: Preprocessing | None
     scaler: Scaler
-    models: dict[str, PipelineModel] = field(default_factory=dict)
+    models: dict[str, ForestModel | BoostedModel] = field(default_factory=dict)
     isolation: IsolationForest | None = None
     test: DataFrame | None = None
     metrics: DataFrame | None = None
@@ -75,7 +77,7 @@ class Trained:
         if self.preprocessing is not None:
             self.preprocessing.write(spark, f"{folder}/preprocessing")
         for name, model in self.models.items():
-            model.write().overwrite().save(f"{folder}/{_FOLDERS[name]}")
+            model.write(spark, f"{folder}/{_FOLDERS[name]}")
         if self.isolation is not None:
             self.isolation.write(spark, f"{folder}/isolation_forest")
         if self.metrics is not None:
@@ -95,7 +97,7 @@ class Trained:
             features=read_names(spark, f"{folder}/features"),
             preprocessing=Preprocessing.read(spark, f"{folder}/preprocessing") if present("preprocessing") else None,
             scaler=Scaler.read(spark, f"{folder}/scaler"),
-            models={n: PipelineModel.load(f"{folder}/{d}") for n, d in _FOLDERS.items() if present(d)},
+            models={n: _KINDS[n].read(spark, f"{folder}/{d}") for n, d in _FOLDERS.items() if present(d)},
             isolation=IsolationForest.read(spark, f"{folder}/isolation_forest") if present("isolation_forest") else None,
             test=spark.read.parquet(f"{folder}/test_rows") if present("test_rows") else None,
         )
@@ -152,9 +154,10 @@ def _fit_all(train_rows, test_rows, features, preprocessing, key, wide, growth:
         ),
         balanced,
         features,
+        key=key,
     )
     trained.models[BOOSTED] = trees.fit(
-        trees.boosted_trees(wide=wide, rounds=growth.rounds, max_bins=growth.bins), balanced, features
+        trees.boosted_trees(wide=wide, rounds=growth.rounds, max_bins=growth.bins), balanced, features, key=key
     )
     options = dict(trees=300, contamination=0.45, max_features=0.8, bootstrap=True) if wide else {}
     trained.isolation = fit_isolation_forest(scaled.where("y = 0"), features, key=key, **options)
@@ -185,8 +188,8 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--input", required=True, nargs="+", help="flow files, or folders of them")
     parser.add_argument("--output", required=True, help="folder for parameters, models, metrics and test rows")
     parser.add_argument("--wide", action="store_true", help="46 engineered and 2 synthetic features")
-    parser.add_argument("--depth", type=int, help="depth of the forest's trees (12; at most 30)")
-    parser.add_argument("--bins", type=int, help="split candidates per feature (128)")
+    parser.add_argument("--depth", type=int, help="depth of the forest's trees (no limit)")
+    parser.add_argument("--bins", type=int, help="split candidates per feature (256)")
     parser.add_argument("--min-leaf-rows", type=int, help="rows a leaf of the forest has at least")
     parser.add_argument("--trees", type=int, help="trees of the forest (100; wide 300)")
     parser.add_argument("--rounds", type=int, help="boosting rounds (100; wide 300)")
