@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanlens.session import written
+from scanlens.session import drop_path, shared_folder, written
 
 #: Bytes of a lookup table that may be broadcast; a larger one takes a shuffle join.
 BROADCAST_BYTES = 32 << 20
@@ -16,6 +18,50 @@ BROADCAST_BYTES = 32 << 20
 SALTS = 32
 
 
+_BASE = 0xD6E8FEB86659FD93
+#: Longer words are hashed by themselves.
+_LONG_WORD = 64
+
+
+class _Powers:
+    """Powers of an odd number and of its inverse, modulo 2^64, as many as asked for."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > len(self.up):
+            size = 2 * n
+            make = lambda x: np.concatenate([[np.uint64(1)], np.cumprod(np.full(size - 1, x, np.uint64))])
+            self.up, self.down = make(_BASE), make(pow(_BASE, -1, 2**64))
+        return self.up[:n], self.down[:n]
+
+
+_POWERS = _Powers()
+
+
+def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One scrambled number for each pair of numbers."""
+    x = (a ^ (a >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + b
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(_BASE)
+    return x ^ (x >> np.uint64(31))
+
+
+def stretch_hashes(row: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of stretches of a row of bytes, or of hashes: differences of one sum of products."""
+    up, down = _POWERS.of(len(row))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((row.astype(np.uint64) + np.uint64(1)) * up)])
+    return joined((total[end] - total[begin]) * down[begin], (end - begin).astype(np.uint64))
+
+
+def word_hashes(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words of a row of bytes."""
+    out = stretch_hashes(raw, begin, end)
+    for k in np.flatnonzero(end - begin > _LONG_WORD):
+        out[k] = xxhash.xxh3_64_intdigest(raw[begin[k] : end[k]].tobytes())
+    return out
+
+
 def map_batches(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) -> DataFrame:
     """Apply ``make()`` once per task and its result to every Arrow batch of the task."""
 
@@ -60,13 +106,19 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     round is written to the shared folder and the loop ends when nothing changes.
     Nodes without links are not listed.
     """
-    edges = written(links.select("a", "b").where("a <> b").distinct(), "links")
+    def kept(df: DataFrame) -> tuple[DataFrame, str]:
+        path = shared_folder(spark, "links")
+        df.write.parquet(path)
+        return spark.read.parquet(path), path
+
+    edges, path = kept(links.select("a", "b").where("a <> b").distinct())
     while True:
+        # the minima are written: then the joins have exchanges of their own, and the engine can split a hub's
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
-        least = both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        least, first = kept(both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("m")))
+        large, second = kept(both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct())
         down = large.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v")
-        low = down.groupBy("u").agg(F.min("v").alias("m"))
+        low, third = kept(down.groupBy("u").agg(F.min("v").alias("m")))
         small = (
             down.join(low, "u")
             .select(F.explode(F.array(F.struct(F.col("u").alias("a"), F.col("m").alias("b")), F.struct(F.col("v").alias("a"), F.col("m").alias("b")))).alias("e"))
@@ -74,10 +126,12 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
             .where("a <> b")
             .distinct()
         )
-        after = written(small, "links")
+        after, new_path = kept(small)
         mark = [F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))]
         old, new = edges.select(*mark).first(), after.select(*mark).first()
-        edges = after
+        for done in (path, first, second, third):
+            drop_path(spark, done)
+        edges, path = after, new_path
         if tuple(old) == tuple(new):
             break
     roots = edges.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("comp"))

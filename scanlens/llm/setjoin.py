@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanlens.llm.common import attach, components
+from scanlens.llm.common import attach, components, word_hashes
 from scanlens.session import written
 
 WORDS = 5
@@ -44,36 +44,34 @@ CELL_BITS = 26
 BLOCK = 512
 #: Entries of a leaf and subtrees of an inner tree node.
 FANOUT = 8
-#: Word hashes a task remembers before it starts afresh.
-WORD_CACHE = 150_000
+#: Smallest buckets of a node that tell where a pair has been met before.
+KNOWN = 8
 
 _PLACE = np.random.default_rng(5).integers(0, 2**64, WORDS, np.uint64) | np.uint64(1)
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_CACHE:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word) - 2**63
-        return h
+_BLANK = np.zeros(256, bool)
+_BLANK[[*range(9, 14), 32]] = True
 
 
-def shingles(text: str, hashes: dict[bytes, int]) -> np.ndarray:
+def shingles(text: str) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles; fewer words than five are one shingle.
 
-    ``bytes.lower`` and ``bytes.split`` touch A-Z and ASCII white space only.
+    Words are cut at ASCII white space, and only A-Z is lowered.
     """
-    words = text.encode().lower().split()
-    if not words:
+    raw = np.frombuffer(text.encode().lower(), np.uint8)
+    edge = np.flatnonzero(np.diff(_BLANK[raw], prepend=True, append=True))
+    if not len(edge):
         return np.zeros(0, np.uint64)
-    w = np.fromiter(map(hashes.__getitem__, words), np.int64, len(words)).view(np.uint64)
+    w = word_hashes(raw, edge[::2], edge[1::2])
     n = min(WORDS, len(w))
     h = np.full(len(w) - n + 1, n, np.uint64)
     for j in range(n):
         h += w[j : len(h) + j] * _PLACE[j]
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return np.unique(h ^ (h >> np.uint64(33)))
+    h = np.sort(h ^ (h >> np.uint64(33)))
+    return h[np.append(True, h[1:] != h[:-1])]
 
 
 def width(n: int) -> int:
@@ -195,11 +193,10 @@ def _marks(docs: DataFrame) -> DataFrame:
     """``(id, print, n, set, sig, small)`` of every row of ``(id, print, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
         for b in _slices(batches):
             n, sets, sigs, small = [], [], [], []
             for t in b.column("text").to_pylist():
-                s = shingles(t or "", hashes)
+                s = shingles(t or "")
                 n.append(len(s))
                 sets.append(xxhash.xxh3_128_digest(s.tobytes()))
                 sigs.append(bitmap(s))
@@ -236,13 +233,12 @@ def _verified(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     right = attach(reps.withColumnRenamed("node", "b"), wanted, ["b"], "inner").select("b", F.col("text").alias("right"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
         for b in batches:
             keep, last, pivot = [], None, None
             for k, x, y in zip(b.column("b").to_pylist(), b.column("left").to_pylist(), b.column("right").to_pylist(), strict=True):
                 if k != last:
-                    last, pivot = k, shingles(y, hashes)
-                keep.append(similar(shingles(x, hashes), pivot))
+                    last, pivot = k, shingles(y)
+                keep.append(similar(shingles(x), pivot))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return left.join(right, "b").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
@@ -259,9 +255,8 @@ def _lowest(reps: DataFrame) -> DataFrame:
     """``token`` for the lowest quarter of each node's shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
         for b in _slices(batches):
-            tokens = [s[: len(s) // 4 + 1] for s in (shingles(t, hashes) for t in b.column("text").to_pylist())]
+            tokens = [s[: len(s) // 4 + 1] for s in (shingles(t) for t in b.column("text").to_pylist())]
             yield _batch({"token": (np.concatenate(tokens).view(np.int64), pa.int64())})
 
     return reps.select("text").mapInArrow(run, "token long")
@@ -287,11 +282,10 @@ def _prefixes(reps: DataFrame, crowded: np.ndarray) -> DataFrame:
     held = reps.sparkSession.sparkContext.broadcast(crowded)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
         for b in _slices(batches):
             tokens = []
             for t in b.column("text").to_pylist():
-                s = shingles(t, hashes)
+                s = shingles(t)
                 late = _marked(held.value, s)
                 tokens.append(np.concatenate([s[~late], s[late]])[: prefix_length(len(s))])
             sizes = [len(t) for t in tokens]
@@ -304,27 +298,31 @@ def _bucket_pairs(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs that the trees of the buckets do not rule out.
 
     Buckets inside one group need no comparison.  Buckets with the same members are one.
+    A pair is given by the first bucket that both nodes share: every row brings the
+    smallest buckets of its node, and a pair that shares one before this is left to it.
     """
     mixed = rows.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi").select("token")
     rows = written(attach(rows, written(mixed, "mixed"), ["token"], "inner"), "members")
     tokens = rows.groupBy("token").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(3), "node")).alias("y"))
     buckets = tokens.groupBy("x", "y", "c").agg(F.min("token").alias("token"))
     buckets = written(buckets.select("token", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")), "buckets")
-    met = attach(rows, buckets, ["token"], "inner").join(nodes.select("node", "n", "sig"), "node")
+    met = written(attach(rows, buckets, ["token"], "inner"), "met")
+    few = met.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("token")), 1, KNOWN).alias("few"))  # a prefix at most
+    met = met.join(few.join(nodes.select("node", "n", "sig"), "node"), "node")
     own = F.pmod(F.xxhash64(F.lit(11), "node"), F.col("blocks")).cast("int")
     met = met.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
-    met = met.select("token", "i", "j", "own", "node", "group", "n", "sig").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    met = met.select("token", "i", "j", "own", "few", "node", "group", "n", "sig").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
         for b in batches:
             found: list[tuple[int, int]] = []
-            for token, i, j, own, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for token, i, j, own, few, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if (token, i, j) != bucket:
                     found += _pairs(bucket, held)
                     bucket, held = (token, i, j), []
-                held.append((own, row))
+                held.append((own, {t for t in few if t < token}, row))
             yield _batch({"a": ([p[0] for p in found], pa.int64()), "b": ([p[1] for p in found], pa.int64())})
         found = _pairs(bucket, held)
         yield _batch({"a": ([p[0] for p in found], pa.int64()), "b": ([p[1] for p in found], pa.int64())})
@@ -332,14 +330,18 @@ def _bucket_pairs(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return met.mapInArrow(run, "a long, b long").distinct()
 
 
-def _pairs(bucket: tuple[int, int, int] | None, held: list[tuple[int, list]]) -> list[tuple[int, int]]:
+def _pairs(bucket: tuple[int, int, int] | None, held: list[tuple[int, set[int], list]]) -> list[tuple[int, int]]:
+    """Pairs of a bucket, or of two of its blocks, that no smaller bucket is known to hold."""
     if len(held) < 2:
         return []
     _, i, j = bucket
+    before = {row[0]: few for _, few, row in held}
     if i == j:
-        return list(pairs_of([tuple(r) for _, r in held]))
-    left, right = ([tuple(r) for own, r in held if own == k] for k in (i, j))
-    return list(pairs_of(left, right)) if left and right else []
+        found = pairs_of([tuple(r) for *_, r in held])
+    else:
+        left, right = ([tuple(r) for own, _, r in held if own == k] for k in (i, j))
+        found = pairs_of(left, right) if left and right else ()
+    return [(a, b) for a, b in found if before[a].isdisjoint(before[b])]
 
 
 def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:

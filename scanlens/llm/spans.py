@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scanlens.llm.common import joined, stretch_hashes, word_hashes
 from scanlens.llm.setjoin import _cells, _marked, _slices
 from scanlens.session import written
 
@@ -37,7 +38,6 @@ _SOLO = "฀-໿က-႟ក-៿、-ヿ㐀-䶿一-鿿豈-﫿！？\U00020000-\U000
 _WORD = re.compile(rf"[{_SOLO}]|[^\s{_SOLO}]+")
 #: Longer stretches without blanks are cut where their own last characters say so.
 LONG = 64
-_BASE = 0xD6E8FEB86659FD93
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -73,36 +73,6 @@ _STOP = np.zeros(256, bool)
 _STOP[[33, 46, 63]] = True
 
 
-def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    x = (a ^ (a >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + b
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(_BASE)
-    return x ^ (x >> np.uint64(31))
-
-
-class _Powers:
-    """Powers of an odd number and of its inverse, modulo 2^64, as many as asked for."""
-
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > len(self.up):
-            size = 2 * n
-            make = lambda x: np.concatenate([[np.uint64(1)], np.cumprod(np.full(size - 1, x, np.uint64))])
-            self.up, self.down = make(_BASE), make(pow(_BASE, -1, 2**64))
-        return self.up[:n], self.down[:n]
-
-
-_POWERS = _Powers()
-
-
-def _hashed(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of stretches of bytes, or of word hashes: differences of one sum of products."""
-    up, down = _POWERS.of(len(raw))
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up)])
-    return _joined((total[end] - total[begin]) * down[begin], (end - begin).astype(np.uint64))
-
-
 def word_table(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words in lower case, and the first words of the sentences.
 
@@ -122,7 +92,7 @@ def word_table(text: str) -> tuple[np.ndarray, np.ndarray]:
         if (end - begin).max() <= LONG:
             lines = np.cumsum(raw == 10)
             opens = _STOP[raw[end[:-1] - 1]] | (lines[begin[1:]] > lines[end[:-1] - 1])
-            return _hashed(raw, begin, end), np.flatnonzero(np.append(True, opens))
+            return word_hashes(raw, begin, end), np.flatnonzero(np.append(True, opens))
     words, starts = [], []
     for a, b in sentences(text):
         own = [text[x + a : y + a].lower().encode() for x, y in word_spans(text[a:b])]
@@ -132,7 +102,7 @@ def word_table(text: str) -> tuple[np.ndarray, np.ndarray]:
     if not words:
         return none.astype(np.uint64), none
     end = np.cumsum([len(w) for w in words])
-    return _hashed(np.frombuffer(b"".join(words), np.uint8), np.append(0, end[:-1]), end), np.array(starts)
+    return word_hashes(np.frombuffer(b"".join(words), np.uint8), np.append(0, end[:-1]), end), np.array(starts)
 
 
 def _windowed(f: np.ufunc, x: np.ndarray) -> np.ndarray:
@@ -155,7 +125,7 @@ def piece_starts(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     first = np.zeros(n, bool)
     first[starts] = True
     if n > PIECE:
-        pair = _joined(hashes, np.append(hashes[1:], np.uint64(0)))
+        pair = joined(hashes, np.append(hashes[1:], np.uint64(0)))
         least = _windowed(np.minimum, pair)
         edge = np.zeros(PIECE - 1, np.uint64)
         taken = _windowed(np.maximum, np.concatenate([edge, least, edge])) == pair
@@ -181,7 +151,7 @@ def runs(text: str, least: int = RUN_WORDS) -> tuple[np.ndarray, np.ndarray, np.
     stops = np.append(starts, n)  # a run that ends shortly before its sentence does goes to the end of it
     stop = stops[np.searchsorted(stops, end)]
     end = np.where(stop - end <= PIECE, stop, end)
-    return first, end, _hashed(h, first, end)
+    return first, end, stretch_hashes(h, first, end)
 
 
 def _run_rows(docs: DataFrame, least: int, cells: np.ndarray | None = None) -> DataFrame:

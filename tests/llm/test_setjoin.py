@@ -55,8 +55,7 @@ def test_against_brute_force(spark, monkeypatch, seed, crowded, block, pivots):
 
 def test_trees_lose_no_link():
     draw = random.Random(9)
-    hashes = j._Hashes()
-    sets = [j.shingles(t, hashes) for t in _corpus(4, 120).values() if t and t.split()]
+    sets = [j.shingles(t) for t in _corpus(4, 120).values() if t and t.split()]
     rows = [(i, i, len(s), j.bitmap(s)) for i, s in enumerate(sets)]
     draw.shuffle(rows)
     want = {(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if j.similar(sets[a], sets[b])}

@@ -11,13 +11,14 @@ import numpy as np
 import pytest
 
 from scanlens.llm import fingerprints, shards, spans, urlrules
+from scanlens.llm.common import joined, word_hashes
 
 
 def _plain_pieces(words: list[str], sentence: list[int]) -> list[int]:
     """First words of the pieces, place by place."""
     raw = [np.frombuffer(w.encode(), np.uint8) for w in words]
-    h = [spans._hashed(x, np.array([0]), np.array([len(x)]))[0] for x in raw]
-    pair = [int(spans._joined(np.array([x], np.uint64), np.array([y], np.uint64))[0]) for x, y in zip(h, [*h[1:], 0], strict=False)]
+    h = [word_hashes(x, np.array([0]), np.array([len(x)]))[0] for x in raw]
+    pair = [int(joined(np.array([x], np.uint64), np.array([y], np.uint64))[0]) for x, y in zip(h, [*h[1:], 0], strict=False)]
     cuts = {i for i in range(len(words)) if i == 0 or sentence[i] != sentence[i - 1]}
     for k in range(len(words) - spans.PIECE + 1):
         row = pair[k : k + spans.PIECE]
@@ -286,4 +287,4 @@ def test_word_tables_agree_with_spans(docs, odd):
         assert starts.tolist() == [sum(map(len, own[:k])) for k in range(len(own))] and len(h) == len(words)
         for w, x in zip(words, h, strict=True):
             raw = np.frombuffer(w.encode(), np.uint8)
-            assert spans._hashed(raw, np.array([0]), np.array([len(raw)]))[0] == x
+            assert word_hashes(raw, np.array([0]), np.array([len(raw)]))[0] == x
