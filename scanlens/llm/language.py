@@ -21,10 +21,14 @@ from scanlens.session import written
 
 #: Cells that trigrams are hashed to.
 CELLS = 1 << 15
-#: Documents with a declared language that the trigram model is fitted on, about (drawn by hash).
-FIT_ROWS = 20_000
-#: Rows of the fitting sample that a declared language needs to be modelled, and languages modelled at most.
-LEAST_ROWS, MOST_LANGUAGES = 5, 64
+#: Different texts of each declared language that its trigrams are counted in, about (drawn by hash).
+FIT_ROWS = 5_000
+#: Different texts in the whole corpus that a declared language needs to be modelled.
+LEAST_ROWS = 5
+#: More declared languages than this are an error: the column holds something else.
+MOST_LANGUAGES = 2_000
+#: Languages whose counts a task holds before it hands them on.
+HELD = 64
 #: Neighbouring trigrams repeat each other: weight of their summed log likelihood.
 WEIGHT = 0.25
 #: Rows that the level above counts for in a smoothed prior.
@@ -61,38 +65,60 @@ class Trigrams:
         return out * WEIGHT
 
 
+def declared_languages(labelled: DataFrame) -> dict[str, int]:
+    """Different texts of every declared language that has enough of them, over all rows of ``(text, lang)``.
+
+    Copies of a text count once, so a corpus and ten copies of it have the same languages.
+    """
+    texts = labelled.groupBy("lang", F.xxhash64("text").alias("h")).agg(F.lit(1).alias("one"))
+    found = texts.groupBy("lang").agg(F.count("one").alias("n")).where(F.col("n") >= LEAST_ROWS).limit(MOST_LANGUAGES + 1).collect()
+    if len(found) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} declared languages")
+    return {r.lang: r.n for r in found}
+
+
 def fit(docs: DataFrame, text: str = "text", declared: str = "lang", rows: int = FIT_ROWS) -> Trigrams:
-    """Trigram model from about ``rows`` documents, drawn by hash, with a declared language."""
+    """Trigram model of every declared language with ``LEAST_ROWS`` different texts.
+
+    Each language is counted in about ``rows`` different texts of its own, drawn by hash;
+    the draw and the list of languages do not depend on partitions or copies.
+    """
     labelled = docs.select(F.col(text).alias("text"), F.lower(F.trim(declared)).alias("lang")).where("text is not null and lang <> ''")
-    total = labelled.count()
-    share = min(1.0, rows / max(1, total))
-    drawn = labelled.where(F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) or 1))
+    sizes = declared_languages(labelled)
+    languages = sorted(sizes)
+    table = np.ones((CELLS, len(languages) + 1))
+    if languages:
+        shares = [(lang, max(1, int(min(1.0, rows / n) * (1 << 20)))) for lang, n in sizes.items()]
+        chosen = F.broadcast(docs.sparkSession.createDataFrame(shares, "lang string, share long"))
+        drawn = labelled.join(chosen, "lang").where(F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 20)) < F.col("share"))
+        drawn = drawn.select("text", "lang").distinct()
+        counted = drawn.mapInArrow(_counted, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
+        at = {lang: i for i, lang in enumerate(languages)}
+        for b in counted.toArrow().to_batches():  # at most CELLS rows a language
+            where = np.array([at[x] for x in b.column("lang").to_pylist()], np.int64)
+            table[b.column("cell").to_numpy(), where] += b.column("n").to_numpy()
+    return Trigrams(languages, np.log(table / table.sum(0)).astype(np.float32))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] = {}
-        seen: dict[str, int] = {}
-        for b in batches:
-            for t, lang in zip(b.column("text").to_pylist(), b.column("lang").to_pylist(), strict=True):
-                if lang not in held:
-                    if len(held) >= 4 * MOST_LANGUAGES:
-                        continue
-                    held[lang], seen[lang] = np.zeros(CELLS, np.int64), 0
-                seen[lang] += 1
-                for c in cells(t):
-                    held[lang] += np.bincount(c, minlength=CELLS)
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Trigrams by language and cell; counts of many languages leave the task in parts."""
+    held: dict[str, np.ndarray] = {}
+
+    def parts() -> Iterator[pa.RecordBatch]:
         for lang, n in held.items():
             used = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * (len(used) + 1)), pa.array([-1, *used], pa.int64()), pa.array([seen[lang], *n[used]], pa.int64())], names=["lang", "cell", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(used), pa.string()), pa.array(used, pa.int64()), pa.array(n[used])], names=["lang", "cell", "n"])
+        held.clear()
 
-    counted = written(drawn.mapInArrow(count, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")), "trigrams")
-    sizes = counted.where(f"cell = -1 and n >= {LEAST_ROWS}").orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
-    languages = sorted(r.lang for r in sizes)
-    table = np.ones((CELLS, len(languages) + 1))
-    at = {lang: i for i, lang in enumerate(languages)}
-    for b in counted.where(F.col("lang").isin(languages) & (F.col("cell") >= 0)).toArrow().to_batches() if languages else ():
-        where = np.array([at[x] for x in b.column("lang").to_pylist()])
-        table[b.column("cell").to_numpy(), where] += b.column("n").to_numpy()
-    return Trigrams(languages, np.log(table / table.sum(0)).astype(np.float32))
+    for b in batches:
+        for t, lang in zip(b.column("text").to_pylist(), b.column("lang").to_pylist(), strict=True):
+            if lang not in held:
+                if len(held) >= HELD:
+                    yield from parts()
+                held[lang] = np.zeros(CELLS, np.int64)
+            for c in cells(t):
+                held[lang] += np.bincount(c, minlength=CELLS)
+    yield from parts()
 
 
 def evidence(docs: DataFrame, model: Trigrams, text: str = "text") -> DataFrame:
@@ -200,6 +226,10 @@ def identify(docs: DataFrame, keep: list[str], text: str = "text", declared: Col
 
 
 def accepted_documents(docs: DataFrame) -> DataFrame:
-    """The documents in a modelled language; columns unchanged."""
+    """The documents in a modelled language; columns unchanged.
+
+    Null and empty texts are judged by their declaration and source alone.  Repeated rows are
+    judged alike; extra columns pass through, whatever their names.
+    """
     found = identify(docs.withColumn("__row", F.lit(0)), [*docs.columns], declared=F.col("lang"), host=F.col("source"))
     return found.where("accepted").select(*docs.columns)

@@ -14,6 +14,7 @@ import heapq
 import re
 import struct
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -95,9 +96,9 @@ class Encoder:
         self.surface[self.unknown] = model.trainer_spec.unk_surface.encode()
         self.end = next(i for i, p in enumerate(model.pieces) if p.piece == model.trainer_spec.eos_piece)
         self.score, self.none = {p: s for p, (s, _) in self.vocab.items()}.get, float("-inf")
-        self.coded = {p: (f" {i}", p.replace(SPACE, " ")) for p, (_, i) in self.vocab.items()}
+        self.digits = [str(i) for i in range(len(model.pieces))]
         self.chunks = self._chunker()
-        self.known = _Chunks(self._chunk)
+        self.known = _Chunks(self._segment)
 
     def _chunker(self) -> re.Pattern[str]:
         """Cuts where no piece can reach across: around characters that no longer piece holds, and before blanks."""
@@ -108,8 +109,18 @@ class Encoder:
         solo = f"[{alone}]|" if alone else ""
         return re.compile(f"(?s){solo}{SPACE}*[^{SPACE}{alone}]+|{SPACE}+")
 
-    def normalise(self, text: str) -> tuple[str, list[int]]:
+    def normalise(self, text: str) -> tuple[str, np.ndarray]:
         """Normalised text, and the source byte of each of its characters and of its end."""
+        if self.charmap.units or self.trim:
+            return self._mapped(text)
+        # a map without entries has no match anywhere: every character stands for itself
+        raw = np.frombuffer(text.encode(), np.uint8)
+        at = np.flatnonzero((raw & 0xC0) != 0x80)
+        added = self.prefix and bool(text)
+        return SPACE * added + text.replace(" ", SPACE), np.concatenate([[0] * added, at, [len(raw)]]).astype(np.int64)
+
+    def _mapped(self, text: str) -> tuple[str, np.ndarray]:
+        """Longest-prefix matches one after another."""
         out: list[str] = []
         at: list[int] = []
         raw, start = text.encode(), 0
@@ -140,13 +151,7 @@ class Encoder:
         while self.trim and out and out[-1] == SPACE:
             out.pop()
             end = at.pop()
-        return "".join(out), [*at, end]
-
-    def normalised(self, text: str) -> str:
-        """``normalise`` without the alignment; the empty map changes blanks only."""
-        if self.charmap.units or self.trim:
-            return self.normalise(text)[0]
-        return (SPACE * self.prefix + text.replace(" ", SPACE)) if text else ""
+        return "".join(out), np.array([*at, end], np.int64)
 
     def _merge(self, chunk: str) -> list[str]:
         """Byte-pair merges: always the pair with the best score, the leftmost of equals."""
@@ -190,17 +195,7 @@ class Encoder:
             offer(i, right[i])
         return [p for p in parts if p is not None]
 
-    def _chunk(self, chunk: str) -> tuple[int, str, str]:
-        """Number of ids, id text with a leading blank for each, decoded text."""
-        pieces = self._merge(chunk)
-        found = [self.coded.get(p) for p in pieces]
-        if None in found:  # byte pieces
-            ids, _ = self._segment(chunk)
-            return len(ids), "".join(f" {i}" for i in ids), self._surface(ids)
-        ids, plain = zip(*found, strict=True)
-        return len(pieces), "".join(ids), "".join(plain)
-
-    def _segment(self, chunk: str) -> tuple[list[int], list[int]]:
+    def _segment(self, chunk: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
         """Ids, and the characters each id ends (0 for all but the last byte of one)."""
         ids, widths = [], []
         for piece in self._merge(chunk):
@@ -214,35 +209,27 @@ class Encoder:
             else:
                 ids.append(self.unknown)
                 widths.append(len(piece))
-        return ids, widths
-
-    def _surface(self, ids: list[int]) -> str:
-        return b"".join(self.surface.get(i, b"") for i in ids).decode("utf-8", "replace")
+        return tuple(ids), tuple(widths)
 
-    def encode(self, text: str) -> tuple[list[int], list[int], list[int]]:
+    def encode(self, text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
         """Ids with the end id, and the byte span of the original text behind each."""
         plain, at = self.normalise(text)
-        ids, begin, end, here = [], [], [], 0
+        ids: list[int] = []
+        widths: list[int] = []
         for chunk in self.chunks.findall(plain):
-            own, widths = self._segment(chunk)
+            own, width = self.known[chunk]
             ids += own
-            for w in widths:
-                begin.append(at[here])
-                here += w
-                end.append(at[here])
-        return [*ids, self.end], [*begin, at[-1]], [*end, at[-1]]
-
-    def digest(self, text: str) -> tuple[int, str, str]:
-        """Number of ids with the end id, SHA-256 of the id text and of the decoded text."""
-        found = [self.known[c] for c in self.chunks.findall(self.normalised(text))]
-        n, ids, back = zip(*found, strict=True) if found else ((), (), ())
-        coded = f"{''.join(ids)} {self.end}"[1:]
-        if self.trim:
-            plain = self.decode([int(i) for i in coded.split()])
-        else:
-            plain = "".join(back)
-            plain = plain[1:] if plain[:1] == " " and self.prefix else plain
-        return sum(n) + 1, hashlib.sha256(coded.encode()).hexdigest(), hashlib.sha256(plain.encode()).hexdigest()
+            widths += width
+        ids.append(self.end)
+        edge = at[np.cumsum([0, *widths, 0])]
+        edge[-2:] = at[-1]
+        return ids, edge[:-1], edge[1:]
+
+    def digest(self, text: str) -> tuple[int, int, str, str]:
+        """Number of ids with the end id, bytes under their spans, SHA-256 of the id text and of the decoded text."""
+        ids, begin, end = self.encode(text)
+        coded = " ".join(map(self.digits.__getitem__, ids)).encode()
+        return len(ids), int((end - begin).sum()), hashlib.sha256(coded).hexdigest(), hashlib.sha256(self.decode(ids).encode()).hexdigest()
 
     def decode(self, ids: list[int]) -> str:
         """Text of a row of ids; control ids are silent, added leading blanks go."""
@@ -310,7 +297,9 @@ def decode_documents(encoded: DataFrame, model: str, out: str = "decoded") -> Da
 def encoding_digests(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode and decode every text inside its task; only sizes and digests leave it.
 
-    One row per input row: key, n_tokens, ids_sha256, decoded_sha256.  A null text is
+    Every text is normalised with its alignment, its pieces are projected to byte spans,
+    and its ids are decoded.  One row per input row: key, n_tokens, ids_sha256,
+    decoded_sha256, and span_bytes, the bytes of the text under the spans.  A null text is
     the empty text: the end id alone, decoded to nothing.
     """
     docs = docs.select(key, text)
@@ -321,10 +310,10 @@ def encoding_digests(docs: DataFrame, model: str, key: str = "doc_id", text: str
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows = [encoder.digest(t) for t in texts(batch, text)]
-            n, ids, back = zip(*rows, strict=True)
-            return pa.RecordBatch.from_arrays([batch.column(key), pa.array(n, pa.int64()), pa.array(ids), pa.array(back)], names=[key, "n_tokens", "ids_sha256", "decoded_sha256"])
+            n, size, ids, back = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays([batch.column(key), pa.array(n, pa.int64()), pa.array(ids), pa.array(back), pa.array(size, pa.int64())], names=[key, "n_tokens", "ids_sha256", "decoded_sha256", "span_bytes"])
 
         return step
 
-    return map_batches(docs, f"`{key}` {docs.dtypes[0][1]}, n_tokens long, ids_sha256 string, decoded_sha256 string", start)
+    return map_batches(docs, f"`{key}` {docs.dtypes[0][1]}, n_tokens long, ids_sha256 string, decoded_sha256 string, span_bytes long", start)
 
