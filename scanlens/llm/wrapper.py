@@ -2,8 +2,10 @@
 
 The pages of a host are folded into one template: their trees are aligned by simple tree
 matching, and every template node learns whether its text is the same on all pages or
-varies.  Constant nodes are template, varying slots are content.  What is marked as menu,
-header, footer, sidebar, notice, advert, form or comments is never content.
+varies, and how much of it is repeated from page to page.  Constant nodes are template,
+varying slots are content; where most of a body is repeated, the pages are versions of
+one text, and all of it is content.  What is marked as menu, header, footer, sidebar,
+notice, advert, form or comments is never content.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,10 +39,18 @@ MARKS = set(
     "header masthead footer sidebar side rail widget cookie cookies consent notice alert popup modal overlay newsletter subscribe signup login form search "
     "share sharing social comment comments respond discussion replies disqus related recommended complementary contentinfo pagination pager toolbar copyright".split()
 )
+# An article element is marked only by a class that begins with one of these.
+NO_ARTICLE = set("comment comments reply replies respond ad ads advert advertisement adverts advertising sponsor sponsored promo promotion related recommended".split())
+# The header of a part of the article is no page header.
+PARTS = set("article entry post story content section".split())
 WHOLE = set("html body main article".split())
 CONTENT = set("article content post entry story main".split())
-#: Levels of the tree; what is deeper hangs on the element at this level.
+#: Levels of the tree; what is deeper hangs on the element at this level, with the marks of all elements it is in.
 DEPTH = 60
+#: Smallest block hashes that a slot keeps to estimate its different blocks.
+SKETCH = 16
+#: Share of characters or of blocks that differ from which what is constant in a body is template.
+VARIES = 0.4
 #: Child pairs beyond which two child lists are aligned by their labels alone.
 PAIRS = 10_000
 #: Hosts whose templates a task holds before it hands them on.
@@ -67,20 +78,25 @@ class Node:
 
 def _element(tag: str, attributes: str) -> Node:
     kinds: set[str] = set()
+    leads: set[str] = set()
     label = tag
     for name, *values in _ATTRIBUTE.findall(attributes):
+        for token in "".join(values).lower().split():
+            words = [w for w in re.split(r"[^a-z]+", token) if w]
+            leads.update(words[:1])
+            kinds.update(words[:-1] if words[-1:] == ["header"] and PARTS & set(words[:-1]) else words)
         words = [w for w in re.split(r"[^a-z]+", "".join(values).lower()) if w]
-        kinds.update(words)
         if name.lower() == "class" and words:
             label = f"{tag}.{'.'.join(sorted(set(words)))}"
-    marked = tag in ASIDE or tag not in WHOLE and bool(kinds & MARKS) or bool(_HIDDEN.search(attributes))
-    return Node(label, tag, marked)
+    named = leads & NO_ARTICLE if tag == "article" else tag not in WHOLE and kinds & MARKS
+    return Node(label, tag, tag in ASIDE or bool(named) or bool(_HIDDEN.search(attributes)))
 
 
 def parse(page: str) -> tuple[Node, list[Node]]:
     """Tree of block elements, and its text blocks in page order."""
     root = Node("#root", "#root")
     stack, blocks, run = [root], [], []
+    inside = [False]  # for every open element: it, or one around it, is marked
     linked = 0
 
     def flush() -> None:
@@ -88,14 +104,14 @@ def parse(page: str) -> tuple[Node, list[Node]]:
         if run:
             text = " ".join(html.unescape("".join(t for t, _ in run)).split())
             if text:
-                block = Node("#text", "#text", text=text, links=sum(len(t) for t, in_link in run if in_link), ref=len(blocks))
+                block = Node("#text", "#text", len(stack) > DEPTH and inside[-1], text=text, links=sum(len(t) for t, in_link in run if in_link), ref=len(blocks))
                 stack[min(len(stack), DEPTH) - 1].children.append(block)
                 blocks.append(block)
             run = []
 
     def close(k: int) -> None:
         flush()
-        del stack[k:]
+        del stack[k:], inside[k:]
 
     at = 0
     while at < len(page):
@@ -140,28 +156,43 @@ def parse(page: str) -> tuple[Node, list[Node]]:
                     break
                 if stack[i].tag in SCOPE:
                     break
+        if len(stack) > DEPTH:
+            node.marked |= inside[-1]
         stack[min(len(stack), DEPTH) - 1].children.append(node)
         if tag not in VOID and not m[3].endswith("/"):
             stack.append(node)
+            inside.append(inside[-1] or node.marked)
     flush()
     return root, blocks
 
 
 class Slot:
-    """A template node: on how many pages, with how much text, and its text if that never changes."""
+    """A template node: on how many pages, with how much text, and its text if that never changes.
 
-    __slots__ = ("label", "marked", "pages", "chars", "links", "same", "children", "refs")
+    ``blocks`` counts its text blocks, ``sketch`` holds the smallest hashes of different ones.
+    """
+
+    __slots__ = ("label", "marked", "pages", "chars", "links", "same", "children", "blocks", "sketch", "refs")
 
-    def __init__(self, label, marked, pages, chars, links, same, children, refs=()):
+    def __init__(self, label, marked, pages, chars, links, same, children, blocks=0, sketch=(), refs=()):
         self.label, self.marked, self.pages, self.chars = label, marked, pages, chars
-        self.links, self.same, self.children, self.refs = links, same, children, refs
+        self.links, self.same, self.children = links, same, children
+        self.blocks, self.sketch, self.refs = blocks, sketch, refs
 
     def dump(self) -> list:
-        return [self.label, int(self.marked), self.pages, self.chars, self.links, self.same, [c.dump() for c in self.children]]
+        return [self.label, int(self.marked), self.pages, self.chars, self.links, self.same, [c.dump() for c in self.children], self.blocks, list(self.sketch)]
 
     @staticmethod
     def load(row: list) -> Slot:
-        return Slot(row[0], bool(row[1]), row[2], row[3], row[4], row[5], [Slot.load(c) for c in row[6]])
+        return Slot(row[0], bool(row[1]), row[2], row[3], row[4], row[5], [Slot.load(c) for c in row[6]], row[7], tuple(row[8]))
+
+    def different(self) -> float:
+        """How much its blocks differ from page to page, about: 0 always the same, 1 never."""
+        if self.pages < 2 or not self.blocks:
+            return 1.0
+        n = len(self.sketch)
+        found = n if n < SKETCH else (SKETCH - 1) * 2**32 / max(1, self.sketch[-1])
+        return min(1.0, max(0.0, (found / self.blocks - 1 / self.pages) / (1 - 1 / self.pages)))
 
 
 def fold(nodes: list[Node]) -> Slot:
@@ -169,7 +200,9 @@ def fold(nodes: list[Node]) -> Slot:
     first = nodes[0]
     if first.tag == "#text":
         text = "\n".join(n.text for n in nodes)
-        return Slot("#text", False, 1, len(text), sum(n.links for n in nodes), hashlib.md5(text.encode()).hexdigest()[:16], [], tuple(n.ref for n in nodes))
+        sketch = sorted({xxhash.xxh32_intdigest(n.text) for n in nodes})[:SKETCH]
+        same = hashlib.md5(text.encode()).hexdigest()[:16]
+        return Slot("#text", first.marked, 1, len(text), sum(n.links for n in nodes), same, [], len(nodes), tuple(sketch), tuple(n.ref for n in nodes))
     groups: list[list[Node]] = []
     for n in nodes:
         for c in n.children:
@@ -222,15 +255,17 @@ def merged(a: Slot, b: Slot, known: dict | None = None) -> Slot:
     known = {} if known is None else known
     children = [merged(x, y, known) if x and y else x or y for x, y in aligned(a.children, b.children, known)]
     same = a.same if a.same == b.same else ""
-    return Slot(a.label, a.marked or b.marked, a.pages + b.pages, a.chars + b.chars, a.links + b.links, same, children)
+    sketch = tuple(sorted({*a.sketch, *b.sketch})[:SKETCH])
+    return Slot(a.label, a.marked or b.marked, a.pages + b.pages, a.chars + b.chars, a.links + b.links, same, children, a.blocks + b.blocks, sketch)
 
 
-def _text_of(slot: Slot, varying: bool) -> int:
-    """Characters of unmarked text below, or of varying text only."""
+def _text_of(slot: Slot) -> list[float]:
+    """Of the unmarked text below: characters, blocks, and of each what differs from page to page."""
     if slot.marked:
-        return 0
-    own = slot.chars if not varying or slot.same == "" else 0
-    return own + sum(_text_of(c, varying) for c in slot.children)
+        return [0, 0, 0, 0]
+    share = slot.different()
+    parts = [[slot.chars, slot.blocks, slot.chars * share, slot.blocks * share], *map(_text_of, slot.children)]
+    return [sum(x) for x in zip(*parts, strict=True)]
 
 
 def _bodies(page: Slot) -> list[Slot]:
@@ -241,7 +276,7 @@ def _bodies(page: Slot) -> list[Slot]:
         if s.marked:
             return
         if set(re.split(r"[^a-z]+", s.label)) & wanted:
-            if _text_of(s, False):
+            if _text_of(s)[0]:
                 found.append(s)
             return
         for c in s.children:
@@ -258,8 +293,9 @@ def extract(page: str, template: Slot | None) -> str:
     """Main text of a page: its blocks in content slots of the template, joined by two line feeds.
 
     A slot is content if it is inside a body of the page, not marked, and varies.  If
-    nothing in the bodies varies (one page, or copies of one page) all their slots are
-    content, as are those of a body that no other page of the host has.
+    less than ``VARIES`` of the bodies' text differs from page to page (one page, copies
+    or versions of one article) all their slots are content, as are those of a body that no
+    other page of the host has.
     """
     root, blocks = parse(page)
     own = fold([root])
@@ -279,14 +315,15 @@ def extract(page: str, template: Slot | None) -> str:
                 find(x, y)
 
     find(template or own, own)
-    fixed = not any(t is not None and _text_of(t, True) for t, _ in held)
+    chars, count, chars_own, count_own = (sum(x) for x in zip([0, 0, 0, 0], *(_text_of(t) for t, _ in held if t is not None and t.pages > 1), strict=True))
+    fixed = chars_own < VARIES * chars and count_own < VARIES * count
     chosen: list[int] = []
 
     def walk(t: Slot | None, p: Slot, free: bool) -> None:
         if p.marked or t is not None and t.marked:
             return
         if p.label == "#text":
-            constant = t is not None and t.same != "" and not free
+            constant = t is not None and t.pages > 1 and t.same != "" and not free
             menu = whole and t is not None and t.links > LINKED * t.chars
             if not constant and not menu:
                 chosen.extend(p.refs)
@@ -353,9 +390,8 @@ def templates(pages: DataFrame, url: str = "url", text: str = "html") -> DataFra
 def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", text: str = "html") -> DataFrame:
     """One row per input row: key, url, text, n_chars (code points).
 
-    A null or empty page has the empty text.  A null url belongs to the host ''.  A host
-    with one page, or with copies of one page, has no varying slots; then all of the body
-    is content.  Rows are independent once templates are known, so repeated rows get
+    A null or empty page has the empty text.  A null url belongs to the host ''.  On a host
+    with one page, or with copies or versions of one page, all of the body is content.  Rows are independent once templates are known, so repeated rows get
     equal results; columns other than the three named are not read.
     """
     table = written(templates(pages, url, text), "templates")

@@ -133,6 +133,60 @@ def test_templates_do_not_depend_on_the_order(spark):
     assert wrapper.extract(page, one) == wrapper.extract(page, two) == "new\n\nown text"
 
 
+def _texts(spark, pages) -> dict[int, str]:
+    frame = spark.createDataFrame([(i, "https://h.example/a", h) for i, h in pages], "page_id long, url string, html string").repartition(3)
+    return {r.page_id: r.text for r in wrapper.main_texts(frame).collect()}
+
+
+def test_the_template_tells_content_where_no_tag_does(spark):
+    """Pages without article elements: alone everything is kept, on its host only what varies."""
+    draw = random.Random(3)
+    word = lambda n: " ".join(f"w{draw.randrange(10**6)}" for _ in range(n))
+    shell = "<html><body><div class=top>The Daily Host</div><div class=line>Since 1901</div><div class=a>{}</div><div class=b><p>{}</p><p>{}</p></div><div class=end>All rights reserved here</div></body></html>"
+    pages = [(i, shell.format(word(3), word(25), word(18))) for i in range(12)]
+    got = _texts(spark, pages)
+    for i, page in pages:
+        parts = [b.text for b in wrapper.parse(page)[1]]
+        assert got[i] == "\n\n".join(parts[2:5])
+        assert wrapper.extract(page, None) == "\n\n".join(parts)  # without the template nothing tells them apart
+    # the same inside a wide article body
+    wide = [(i, f"<html><body><article><div class=kicker>Read our best stories</div><h1>{word(4)}</h1><p>{word(30)}</p><div class=tail>Published by the Daily Host</div></article></body></html>") for i in range(12)]
+    got = _texts(spark, wide)
+    for i, page in wide:
+        parts = [b.text for b in wrapper.parse(page)[1]]
+        assert got[i] == "\n\n".join(parts[1:3]) and wrapper.extract(page, None) == "\n\n".join(parts)
+
+
+def test_versions_of_one_article_are_kept_whole(spark):
+    """Only one paragraph differs between the pages of a host: title, headings and equal paragraphs stay."""
+    parts = ["A title", "First paragraph of the text, which is long.", "Heading", "Second one that says more.", "Heading two", "Third and last paragraph."]
+    page = lambda k: f"<html><body><nav>menu</nav><article><h1>{parts[0]}</h1><p>{parts[1]}</p><h2>{parts[2]}</h2><p>{parts[3]} edited {k}.</p><h2>{parts[4]}</h2><p>{parts[5]}</p></article></body></html>"
+    got = _texts(spark, [(k, page(k)) for k in range(5)])
+    for k in range(5):
+        assert got[k] == "\n\n".join([*parts[:3], f"{parts[3]} edited {k}.", *parts[4:]])
+
+
+def test_comments_adverts_and_part_headers(spark):
+    draw = random.Random(8)
+    word = lambda n: " ".join(f"w{draw.randrange(10**6)}" for _ in range(n))
+    pages, want = [], {}
+    for i in range(6):
+        title, body = word(4), word(30)
+        deep = "<div>" * 90 + f'<div class="advert"><p>{word(9)}</p></div>' + f"<p>deep {word(6)}</p>" + "</div>" * 90
+        kept = [b.text for b in wrapper.parse(deep)[1] if b.text.startswith("deep")]
+        around = '<div class="comments">' + "<div>" * 80 + f"<p>{word(7)}</p>" + "</div>" * 80 + "</div>"
+        pages.append((i, f'<html><body><article class="post has-comments"><div class="entry-header"><h1>{title}</h1></div><p>{body}</p>{deep}{around}</article><article class="comment"><p>{word(12)}</p></article><article id="comment-12" class="depth-1"><p>{word(12)}</p></article><article class="ad-slot">{word(5)}</article></body></html>'))
+        want[i] = "\n\n".join([title, body, *kept])
+    assert _texts(spark, pages) == want
+
+
+def test_html_clashing_columns(spark):
+    page = "<article><p>text &amp; more</p></article>"
+    names = ["host", "page", "key", "text", "n_chars", "template", "salt", "url_", "html_"]
+    frame = spark.createDataFrame([(1, "http://a/", page, *map(str, range(len(names))))], "page_id long, url string, html string, " + ", ".join(f"`{n}` string" for n in names))
+    assert [tuple(r) for r in wrapper.main_texts(frame).collect()] == [(1, "http://a/", "text & more", 11)]
+
+
 def test_html_odd_rows(spark):
     deep = "<div>" * 3000 + "deep" + "</div>" * 3000
     pages = [(1, None, None), (1, None, None), (2, "", ""), (None, "http://a/", "plain text &amp; more"), (3, "http://a/", deep), (4, "x", "<p>un<b>closed"), (5, "http://h/", "<article><p>same</p></article>"), (6, "http://h/", "<article><p>same</p></article>"), (7, "http://h", "<" * 500), (8, "u", "a < b <!-- never closed")]
