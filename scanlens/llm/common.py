@@ -99,6 +99,16 @@ def attach(df: DataFrame, table: DataFrame, keys: list[str], how: str = "left")
     return df.join(table, keys, how)
 
 
+def set_aside(docs: DataFrame, names: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Rename columns that an operator would replace; the second value puts all columns of ``docs`` back."""
+    new = {c: f"__aside_{i}" for i, c in enumerate(docs.columns) if c in names}
+
+    def restore(out: DataFrame) -> DataFrame:
+        return out.select(*(F.col(f"`{new.get(c, c)}`").alias(c) for c in docs.columns))
+
+    return docs.withColumnsRenamed(new), restore
+
+
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """Connected components of ``links(a long, b long)``: (node, comp), comp = the smallest node.
 

@@ -10,13 +10,14 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanlens.llm.common import map_batches, texts
+from scanlens.llm.common import map_batches, set_aside, texts
 
 #: A word: digits, ASCII letters (lower-cased A-Z) and everything beyond ASCII.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -62,13 +63,14 @@ class Windows:
         return len(words), runs, found
 
 
-def _blocks(items: DataFrame, key: str, text: str) -> list[list[Row]]:
-    """Items in blocks of a bounded number of bytes; each block is read by its own small job."""
+def _blocks(items: DataFrame, key: str, text: str) -> Iterator[list[tuple[str, str]]]:
+    """Items in blocks of a bounded number of bytes, one at a time on the driver; each is read by its own small job."""
     rows = items.select(F.col(key).cast("string").alias("item"), F.coalesce(text, F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text") + 32)).first()[0] or 0
     count = -(-size // BLOCK_BYTES) or 1
     part = F.pmod(F.xxhash64("item", "text"), F.lit(count))
-    return [[(r.item or "", r.text) for r in rows.where(part == k).collect()] for k in range(count)]
+    for k in range(count):
+        yield [(r.item or "", r.text) for r in rows.where(part == k).toLocalIterator()]
 
 
 def find_items(docs: DataFrame, items: DataFrame, item_key: str = "item_id", item_text: str = "text", text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -141,8 +143,13 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", **opti
 
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents without any occurrence of an item window; columns unchanged."""
-    return find_items(docs, items).where("n_hit = 0").select(*docs.columns)
+    """The documents without any occurrence of an item window; columns unchanged.
+
+    Null and empty texts hold none and stay; repeated rows are judged alike.  Extra columns
+    pass through, whatever their names.
+    """
+    rows, restore = set_aside(docs, ["n_words", "n_hit", "hit_spans", "found_items"])
+    return restore(find_items(rows, items).where("n_hit = 0"))
 
 
 def digest_of(items: list[str]) -> str:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scanlens.llm.common import attach
+from scanlens.llm.common import attach, set_aside
 from scanlens.session import written
 
 #: Cells that trigrams are hashed to.
@@ -231,5 +231,5 @@ def accepted_documents(docs: DataFrame) -> DataFrame:
     Null and empty texts are judged by their declaration and source alone.  Repeated rows are
     judged alike; extra columns pass through, whatever their names.
     """
-    found = identify(docs.withColumn("__row", F.lit(0)), [*docs.columns], declared=F.col("lang"), host=F.col("source"))
-    return found.where("accepted").select(*docs.columns)
+    rows, restore = set_aside(docs, ["language", "confidence", "accepted"])
+    return restore(identify(rows, rows.columns, declared=F.col("lang"), host=F.col("source")).where("accepted"))

@@ -233,7 +233,7 @@ def _verified(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     right = attach(reps.withColumnRenamed("node", "b"), wanted, ["b"], "inner").select("b", F.col("text").alias("right"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches, 250):
             keep, last, pivot = [], None, None
             for k, x, y in zip(b.column("b").to_pylist(), b.column("left").to_pylist(), b.column("right").to_pylist(), strict=True):
                 if k != last:
@@ -244,7 +244,7 @@ def _verified(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return left.join(right, "b").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
     """Smaller batches, so that the shingles of few texts are held at a time."""
     for b in batches:
         for s in range(0, b.num_rows, rows):
@@ -316,7 +316,7 @@ def _bucket_pairs(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
-        for b in batches:
+        for b in _slices(batches):
             found: list[tuple[int, int]] = []
             for token, i, j, own, few, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if (token, i, j) != bucket:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanlens.llm.common import joined, stretch_hashes, word_hashes
+from scanlens.llm.common import joined, set_aside, stretch_hashes, word_hashes
 from scanlens.llm.setjoin import _cells, _marked, _slices
 from scanlens.session import written
 
@@ -259,10 +259,11 @@ def _kept(text: str | None, cut: list[dict] | None) -> tuple[int, int, str | Non
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The documents with repeated sentences removed and ``n_chars`` counted anew; emptied ones go.
 
-    Other columns are unchanged.  Null and empty texts stay.
+    Other columns are unchanged, whatever their names.  Null and empty texts stay.
     """
-    found = remove_repeats(docs)
+    rows, restore = set_aside(docs, ["n_sentences", "n_removed", "kept_text"])
+    found = remove_repeats(rows)
     kept = found.where("n_removed = 0 or length(trim(kept_text)) > 0").withColumn("text", F.col("kept_text"))
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return kept.select(*docs.columns)
+    return restore(kept)

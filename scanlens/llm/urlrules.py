@@ -26,10 +26,11 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return F.coalesce(F.translate(host, upper, lower), F.lit("")), F.coalesce(path, F.lit(""))
 
 
-def _suffixes(host: Column) -> Column:
-    """The host and each of its parent domains."""
-    parts = F.split(host, r"\.", -1)
-    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+def _suffixes(host: Column, labels: list[int]) -> Column:
+    """The last labels of the host, as many as rule hosts have; a host of any length has no more suffixes than those."""
+    dots = F.length(host) - F.length(F.replace(host, F.lit("."), F.lit("")))
+    asked = F.filter(F.array(*(F.lit(n) for n in labels)).cast("array<int>"), lambda n: n <= dots + 1)
+    return F.transform(asked, lambda n: F.call_function("substring_index", host, F.lit("."), -n))
 
 
 def _expression(host: Column, path: Column) -> Column:
@@ -45,8 +46,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: st
     ``allow`` and ``rule`` null.  A null URL or one without ``://`` has an empty host
     and path; rules with null parts are ignored.  Repeated rows are judged one by one.
 
-    Path prefixes are cut at the lengths that rule paths have, so expressions per URL
-    are bounded by labels times lengths.  Rules are broadcast if their measured size
+    Hosts are cut at the numbers of labels that rule hosts have, paths at the lengths that
+    rule paths have, so expressions per URL are bounded by the rules, however long it is.
+    Columns other than the two named are not read.  Rules are broadcast if their measured size
     allows, else both sides are dealt out by hash prefix and salt.
     """
     host, path = split_url(F.col(url))
@@ -56,7 +58,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: st
     digest = F.sha2(_expression(F.col("rule_host"), F.col("rule_path")), 256)
     mine = written(mine.withColumn("rule_digest", digest).withColumn("prefix", F.substring(digest, 1, 8)), "rules")
     cuts = F.filter(F.array(*(F.lit(n) for n in _lengths(mine))).cast("array<int>"), lambda n: n <= F.length("path"))
-    wide = rows.select("row", F.explode(_suffixes(F.col("host"))).alias("h"), "path", cuts.alias("cuts"))
+    wide = rows.select("row", F.explode(_suffixes(F.col("host"), _labels(mine))).alias("h"), "path", cuts.alias("cuts"))
     wide = wide.select("row", "h", F.explode(F.transform("cuts", lambda n: F.substring(F.col("path"), F.lit(1), n))).alias("p"))
     digest = F.sha2(_expression(F.col("h"), F.col("p")), 256)
     wide = wide.select("row", digest.alias("digest")).withColumn("prefix", F.substring("digest", 1, 8))
@@ -73,6 +75,12 @@ def judge_urls(pages: DataFrame, rules: DataFrame, key: str = "page_id", url: st
     )
 
 
+def _labels(mine: DataFrame) -> list[int]:
+    """Numbers of labels that rule hosts have."""
+    dots = F.length("rule_host") - F.length(F.replace(F.col("rule_host"), F.lit("."), F.lit("")))
+    return sorted(r.n for r in mine.select((dots + 1).alias("n")).distinct().collect())
+
+
 def _lengths(mine: DataFrame) -> list[int]:
     """Lengths rule paths have; at most as many as the longest path has characters."""
     return sorted(r.n for r in mine.select(F.length("rule_path").alias("n")).distinct().collect())

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from scanlens.llm import fingerprints, shards, spans, urlrules
 from scanlens.llm.common import joined, word_hashes
@@ -195,6 +196,10 @@ def test_url_rules_against_brute_force(spark, monkeypatch, broadcast):
     got = sorted(((r.page_id, r.host, r.path, r.rule, r.verdict) for r in urlrules.judge_urls(pages, frame).collect()), key=repr)
     assert got == sorted(((i, *_judge(u, rules)) for i, u in [*enumerate(urls), (0, None), (4, urls[4])]), key=repr)
     assert urlrules.judge_urls(pages.limit(0), frame).count() == 0
+    extra = pages.withColumns({c: F.lit(7) for c in ("row", "key", "host", "path", "rule", "verdict", "digest", "prefix", "h", "p", "cuts")})
+    assert urlrules.judge_urls(extra, frame).count() == pages.count()
+    long = spark.createDataFrame([(1, "http://" + "a." * 100_000 + "b/xy"), (2, "http://b" + "/xyz" * 50_000)], pages.schema)
+    assert [(r.page_id, r.verdict) for r in urlrules.judge_urls(long, frame).orderBy("page_id").collect()] == [(1, "allow"), (2, "block")]
     assert urlrules.judge_urls(pages, frame.limit(0)).where("rule is not null").count() == 0
 
 
