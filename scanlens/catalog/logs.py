@@ -372,3 +372,47 @@ def last_block_before(spark, folder):
     named = flows(spark, folder).withColumn("source", source)
     blocks = named.where("event_type = 'error'").select("source", "ts", F.col("event_id").alias("block"))
     return asof.as_of_join(named, blocks, ["block"], by=["source"]).select("flow_id", "block")
+
+
+_REPORTS = 16
+_REPORT_SQL = f"""i AS (SELECT l_orderkey % {_REPORTS} AS report, l_orderkey, l_linenumber, l_partkey % 65536 AS port, l_returnflag = 'R' AS r FROM lineitem),
+    t AS (SELECT report, CASE report % 4 WHEN 0 THEN 'syn' WHEN 1 THEN 'udp' WHEN 2 THEN 'xmas' ELSE 'unknown' END AS scan_type FROM i GROUP BY report)"""
+
+
+def _scan_files(spark, folder):
+    """Large scan reports as files, one host per line item; two of them are cut short or broken."""
+    from scanlens.session import shared_folder
+
+    report = F.col("l_orderkey") % _REPORTS
+    state = F.when(F.col("l_returnflag") == "R", "open").otherwise("closed")
+    host = F.format_string(
+        '<host><address addr="00:00:00:00:00:01" addrtype="mac"/><address addr="10.1.%d.%d" addrtype="ipv4"/><ports>\n'
+        '<port protocol="tcp" portid="%d"><state state="%s"/></port></ports></host>',
+        F.col("l_suppkey") % 256, F.col("l_partkey") % 256, F.col("l_partkey") % 65536, state,
+    )
+    lines = table(spark, folder, "lineitem").select(report.alias("report"), F.col("l_orderkey").alias("a"), F.col("l_linenumber").alias("b"), host.alias("value"))
+    args = F.when(F.col("id") % 4 == 0, "scan -sS -p 1-1000").when(F.col("id") % 4 == 1, "scan -sU").when(F.col("id") % 4 == 2, "scan -sX").otherwise("scan -O")
+    ids = spark.range(_REPORTS)
+    head = ids.select(F.col("id").alias("report"), F.lit(-1).alias("a"), F.lit(0).alias("b"), F.format_string('<?xml version="1.0"?>\n<nmaprun scanner="x"\n args="%s">', args).alias("value"))
+    tail = ids.select(F.col("id").alias("report"), F.lit(2**62).alias("a"), F.lit(0).alias("b"), F.when(F.col("id") == 5, "").otherwise("</nmaprun>").alias("value"))
+    bad = ids.where("id = 6").select(F.col("id").alias("report"), F.lit(2**61).alias("a"), F.lit(0).alias("b"), F.lit("<host><address></host>").alias("value"))
+    root = shared_folder(spark, "scan-files")
+    whole = head.unionByName(lines).unionByName(tail).unionByName(bad)
+    whole.repartition("report").sortWithinPartitions("report", "a", "b").select("report", "value").write.partitionBy("report").text(root)
+    return root
+
+
+@query(
+    "scan_file_features",
+    f"""WITH {_REPORT_SQL} SELECT CAST(t.report AS BIGINT) AS report, t.scan_type, CAST(count(i.port) FILTER (WHERE r) AS BIGINT) AS open_ports,
+    CAST(sum(i.port) FILTER (WHERE r) AS BIGINT) AS port_sum FROM t JOIN i USING (report) WHERE t.report NOT IN (5, 6) GROUP BY ALL""",
+)
+def scan_file_features(spark, folder):
+    """Open ports of large report files, each split at its hosts; malformed files are set aside."""
+    reports, hosts = scans.read_scan_hosts(spark, _scan_files(spark, folder), "*.txt")
+    summaries = scans.summaries_of_hosts(reports, hosts)
+    features = scans.port_features(scans.open_ports_of_hosts(summaries, hosts))
+    counted = features.groupBy("path").agg(F.count(F.lit(1)).alias("open_ports"), F.sum(F.col("dst_port").cast("long")).alias("port_sum"))
+    number = F.regexp_extract("path", r"report=(\d+)", 1).cast("long")
+    found = summaries.join(counted, "path", "left")
+    return found.select(number.alias("report"), "scan_type", F.coalesce("open_ports", F.lit(0).cast("long")).alias("open_ports"), "port_sum")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,23 +116,38 @@ def column_types(df: DataFrame) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, features: list[str] = FEATURES) -> DataFrame:
-    """Pearson correlation of every pair, from one aggregate; long form, both halves.
+    """Pearson correlation of every pair; long form, both halves.
 
-    A pair with a constant feature is NULL.
+    Every task adds up the products of its blocks, shifted by the means, in one matrix; what
+    is exchanged is one row per task and pair.  A pair counts the rows that have both
+    values.  A pair with a constant feature, or with a NaN or infinite value, is NULL.
     """
-    pairs = list(combinations(features, 2))
-    wide = df.agg(
-        *[F.corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)],
-        *[(F.stddev_pop(f) > 0).alias(f"d{i}") for i, f in enumerate(features)],
-    )
-
-    def cell(a: str, b: str, value: Column) -> Column:
-        return F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), value.alias("correlation"))
-
-    cells = [cell(f, f, F.when(F.col(f"d{i}"), F.lit(1.0))) for i, f in enumerate(features)]
-    for i, (a, b) in enumerate(pairs):
-        cells += [cell(a, b, S.finite(F.col(f"p{i}"))), cell(b, a, S.finite(F.col(f"p{i}")))]
-    return wide.select(F.inline(F.array(*cells)))
+    values = [F.col(f"`{f}`").cast("double") for f in features]
+    means = df.agg(*[F.avg(S.finite(v)).alias(f"m{i}") for i, v in enumerate(values)]).first()
+    shift, width = np.array([m or 0.0 for m in means]), len(features)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((4, width, width))
+        for b in batches:
+            there = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in b.columns]).astype(float)
+            x = np.column_stack([c.fill_null(0.0).to_numpy() for c in b.columns]) - shift
+            x[there == 0] = 0.0
+            total += there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x
+        a, z = (i.ravel() for i in np.indices((width, width)))
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(z), *(pa.array(t.ravel()) for t in total)], names=["a", "z", "n", "x", "xx", "xy"])
+
+    sums = df.select(*[v.alias(f"v{i}") for i, v in enumerate(values)]).mapInArrow(run, "a long, z long, n double, x double, xx double, xy double")
+    cells = sums.groupBy("a", "z").agg(*[F.sum(c).alias(c) for c in ("n", "x", "xx", "xy")])
+    left, right = cells, cells.select(F.col("a").alias("z"), F.col("z").alias("a"), F.col("x").alias("y"), F.col("xx").alias("yy"))
+    both = left.join(right, ["a", "z"])
+    n = F.nullif(F.col("n"), F.lit(0.0))
+    sxx, syy = F.col("xx") - F.col("x") * F.col("x") / n, F.col("yy") - F.col("y") * F.col("y") / n
+    # rounding leaves a trace of the squares where all values are equal
+    varies = (sxx > 1e-12 * F.col("xx")) & (syy > 1e-12 * F.col("yy")) & (F.col("n") > 1)
+    found = F.when(varies, (F.col("xy") - F.col("x") * F.col("y") / n) / F.sqrt(sxx * syy))
+    named = F.array(*map(F.lit, features))
+    value = F.when(F.col("a") == F.col("z"), F.when(varies, F.lit(1.0))).otherwise(S.finite(found))
+    return both.select(F.get(named, F.col("a").cast("int")).alias("feature_a"), F.get(named, F.col("z").cast("int")).alias("feature_b"), value.alias("correlation"))
 
 
 def box_stats(df: DataFrame, features: list[str] = FEATURES) -> DataFrame:
