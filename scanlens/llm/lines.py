@@ -24,7 +24,7 @@ LEAST_CHARS = 10
 #: Stripped at both ends of a line.
 BLANKS = " \t\n\x0b\x0c\r"
 #: A key is hot with more rows than this, and more than one in HOT_PARTS of all.
-HOT_ROWS, HOT_PARTS = 10_000, 4096
+HOT_ROWS, HOT_PARTS = 1_000, 4096
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
