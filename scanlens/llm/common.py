@@ -118,17 +118,17 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """
     def kept(df: DataFrame) -> tuple[DataFrame, str]:
         path = shared_folder(spark, "links")
-        df.write.parquet(path)
+        df.write.option("compression", "none").parquet(path)  # two columns of numbers, dropped a round later
         return spark.read.parquet(path), path
 
     edges, path = kept(links.select("a", "b").where("a <> b").distinct())
     while True:
-        # the minima are written: then the joins have exchanges of their own, and the engine can split a hub's
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
+        # the minima are written: then the join has an exchange of its own, and the engine can split a hub's
         least, first = kept(both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("m")))
-        large, second = kept(both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct())
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         down = large.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v")
-        low, third = kept(down.groupBy("u").agg(F.min("v").alias("m")))
+        low = down.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             down.join(low, "u")
             .select(F.explode(F.array(F.struct(F.col("u").alias("a"), F.col("m").alias("b")), F.struct(F.col("v").alias("a"), F.col("m").alias("b")))).alias("e"))
@@ -139,7 +139,7 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         after, new_path = kept(small)
         mark = [F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))]
         old, new = edges.select(*mark).first(), after.select(*mark).first()
-        for done in (path, first, second, third):
+        for done in (path, first):
             drop_path(spark, done)
         edges, path = after, new_path
         if tuple(old) == tuple(new):

@@ -29,7 +29,7 @@ from scanlens.session import written
 WORDS = 5
 #: Two sets link if ``100 * overlap >= PERCENT * union``.
 PERCENT = 80
-#: Bits of a signature: the power of two not below four times the set size, within these limits.
+#: Bits of a signature: the power of two not below twice the set size, within these limits.
 LEAST_BITS, MOST_BITS = 64, 1 << 17
 #: Smallest shingles of a node that look for a pivot, and how many must find the same one.
 PIVOTS, AGREE = 8, 3
@@ -75,7 +75,7 @@ def shingles(text: str) -> np.ndarray:
 
 
 def width(n: int) -> int:
-    return min(MOST_BITS, max(LEAST_BITS, 1 << max(0, 4 * n - 1).bit_length()))
+    return min(MOST_BITS, max(LEAST_BITS, 1 << max(0, 2 * n - 1).bit_length()))
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
