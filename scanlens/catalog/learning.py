@@ -268,3 +268,27 @@ def fold_totals(spark, folder):
     scaled = written(_scaled(spark, folder), "scaled")
     found = cross_validate(scaled, trees.random_forest(trees=5, max_depth=5), K.FEATURES, folds=3)
     return found.select("fold", (F.col("tp") + F.col("fn")).alias("attacks"), (F.col("tn") + F.col("fp")).alias("benign"))
+
+
+@query(
+    "replay_files",
+    f"""WITH {DIRTY_SQL}, feed AS (SELECT count(*) AS n FROM dirty),
+    ports AS (SELECT count(*) AS n FROM lineitem WHERE l_returnflag = 'R' AND l_orderkey % 16 NOT IN (5, 6))
+    SELECT CAST(feed.n + ports.n AS BIGINT) AS events, true AS attacks_as_graded, true AS blocks_as_graded FROM feed, ports""",
+)
+def replay_files(spark, folder):
+    """Scan report files and a flow file scored by saved models, logged, and the log summarised."""
+    from scanlens.catalog.logs import _scan_files
+    from scanlens.plans import replay
+    from scanlens.session import shared_folder
+    from scanlens.sources.files import to_file_names, write_csv
+
+    root = shared_folder(spark, "replay")
+    _trained(spark, folder).save(spark, f"{root}/models")
+    write_csv(to_file_names(dirty_flows(spark, folder).select("src_ip", *K.FEATURES, "label")), f"{root}/attacks")
+    summary = replay.run(spark, _scan_files(spark, folder), f"{root}/attacks", f"{root}/models", f"{root}/out", glob="*.txt")
+    graded = spark.read.parquet(f"{root}/out/results").agg(F.count_if(F.col("prediction") == 1).alias("attacks"), F.count_if(F.col("action") == "BLOCK").alias("blocks"))
+    blocked = spark.read.json(f"{root}/out/blocks").agg(F.count(F.lit(1)).alias("logged"))
+    return summary.crossJoin(graded.withColumnRenamed("attacks", "g")).crossJoin(blocked).select(
+        "events", (F.col("attacks") == F.col("g")).alias("attacks_as_graded"), (F.col("blocks") == F.col("logged")).alias("blocks_as_graded")
+    )

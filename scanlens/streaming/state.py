@@ -1,16 +1,23 @@
-"""Block list with expiry kept as stream state."""
+"""Block list with expiry: as a table of periods per micro-batch, or as stream state.
+
+``block_table`` needs column expressions only.  ``block_periods`` keeps a Python state
+processor for streams that must report a period when it closes.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from scanlens import constants as K
 from scanlens.functions.scalars import epoch_seconds
+from scanlens.session import drop_path
+from scanlens.sources.files import path_exists
+from scanlens.streaming.dispatch import batch_folder
 
 TTL_SECONDS = K.BLOCK_TTL_MINUTES * 60
 _PIECE = "src_ip string, first long, last timestamp, last_second long, events long"
@@ -29,6 +36,56 @@ def merge_periods(periods: list[tuple[int, int, int]], ttl: int) -> list[tuple[i
     return merged
 
 
+def block_pieces(blocks: DataFrame, source: str = "src_ip", ts: str = "ts") -> DataFrame:
+    """``(src_ip, first, last, events)`` of the block events of each source and lifetime slot.
+
+    Two blocks of one slot are closer than the lifetime, so a source with very many blocks is
+    few pieces, and they are combined before the exchange.
+    """
+    second = epoch_seconds(F.col(ts))
+    outside = blocks.where(~F.col(source).isin(*K.LOOPBACK_SOURCES) & F.col(ts).isNotNull())
+    slim = outside.select(F.col(source).alias("src_ip"), second.alias("second"), F.floor(second / TTL_SECONDS).alias("slot"))
+    return slim.groupBy("src_ip", "slot").agg(F.min("second").alias("first"), F.max("second").alias("last"), F.count(F.lit(1)).alias("events")).drop("slot")
+
+
+def merged_pieces(pieces: DataFrame, ttl: int = TTL_SECONDS) -> DataFrame:
+    """Pieces of one source whose distance is below the lifetime become one."""
+    before = Window.partitionBy("src_ip").orderBy("first", "last")
+    reach = F.max("last").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    opens = (reach.isNull() | (F.col("first") - reach >= ttl)).cast("int")
+    number = F.sum("_opens").over(before.rowsBetween(Window.unboundedPreceding, 0))
+    grouped = pieces.withColumn("_opens", opens).withColumn("_n", number).groupBy("src_ip", "_n")
+    return grouped.agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("events").alias("events")).drop("_n")
+
+
+def block_table(output: str, source: str = "src_ip", ts: str = "ts") -> Callable[[DataFrame, int], None]:
+    """Keep the block periods of a stream as one small table per micro-batch.
+
+    Every batch merges its pieces with its predecessor's table.  Rows may come in any order:
+    a late block joins the period it belongs to.  A repeated batch starts from the same
+    predecessor and gives the same table; older ones are dropped.
+    """
+    folder = f"{output}/periods"
+
+    def process(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        pieces, before = block_pieces(batch, source, ts), batch_folder(folder, number - 1)
+        if path_exists(spark, before):
+            pieces = pieces.unionByName(spark.read.parquet(before))
+        merged_pieces(pieces).write.mode("overwrite").parquet(batch_folder(folder, number))
+        drop_path(spark, batch_folder(folder, number - 2))
+
+    return process
+
+
+def newest_periods(spark: SparkSession, output: str) -> DataFrame:
+    """Block periods as the last micro-batch left them."""
+    table = spark.read.parquet(f"{output}/periods")
+    rows = table.where(F.col("batch") == (table.agg(F.max("batch")).first()[0] or 0))
+    until = (F.col("last") + TTL_SECONDS).alias("blocked_until")
+    return rows.select("src_ip", F.col("first").alias("blocked_from"), until, F.col("events").alias("block_events"))
+
+
 class BlockPeriods(StatefulProcessor):
     """Open block periods per source; an event-time timer closes a period at its expiry.
 

@@ -54,6 +54,22 @@ def test_block_periods_equal_batch(spark, parts):
     assert _rows(state.settled_periods(rows), *columns) == _rows(expected, *columns)
 
 
+def test_block_table_equals_batch(spark, parts, tmp_path):
+    """Over batches out of order, and with a batch that is repeated."""
+    out = str(tmp_path)
+    process = state.block_table(out)
+    for number, k in enumerate((2, 0, 3, 1)):
+        batch = with_flow_columns(spark.read.parquet(f"{parts[0]}/{k}")).where("event_type = 'error'")
+        for _ in range(1 + (number == 2)):
+            process(batch, number)
+    columns = ("src_ip", "blocked_from", "blocked_until", "block_events")
+    expected = windows.block_periods(with_flow_columns(parts[1]).where("event_type = 'error'"))
+    found = state.newest_periods(spark, out)
+    assert _rows(found, *columns) == _rows(expected, *columns) and found.count() == expected.count() > 0
+    plan = state.merged_pieces(state.block_pieces(with_flow_columns(parts[1])))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+
+
 def test_expired_periods_are_closed(spark, parts):
     blocks = _stream(spark, parts).where("event_type = 'error'")
     rows = dispatch.run_to_end(state.block_periods(blocks, "60 days"), spark, "open", "update")
