@@ -62,6 +62,19 @@ def word_hashes(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarr
     return out
 
 
+#: Rows of whole texts that travel to a Python task at a time, unless the session asks for fewer.
+BATCH_ROWS = 1_000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Keep Arrow batches of whole texts small in this session: a batch is held several times over on its way."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark = df.sparkSession
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def map_batches(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) -> DataFrame:
     """Apply ``make()`` once per task and its result to every Arrow batch of the task."""
 
@@ -71,7 +84,7 @@ def map_batches(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.Reco
             if batch.num_rows:
                 yield step(batch)
 
-    return df.mapInArrow(run, schema)
+    return small_batches(df).mapInArrow(run, schema)
 
 
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scanlens.llm.common import attach, set_aside
+from scanlens.llm.common import attach, set_aside, small_batches
 from scanlens.session import written
 
 #: Cells that trigrams are hashed to.
@@ -212,7 +212,7 @@ def identify(docs: DataFrame, keep: list[str], text: str = "text", declared: Col
     texts below the confidence ``ACCEPT`` are not accepted.  Columns of ``keep`` named
     like an added one are replaced.
     """
-    marked = _marked(docs, declared, host, suffix).withColumn("__text", F.col(text))
+    marked = _marked(small_batches(docs), declared, host, suffix).withColumn("__text", F.col(text))
     model = model or fit(marked, "__text", "__declared")
     keep = [c for c in keep if c not in ("language", "confidence", "accepted")]
     narrow = marked.select(*keep, "__text", "__declared", "__host", "__suffix")

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanlens.llm.common import attach, components, word_hashes
+from scanlens.llm.common import attach, components, small_batches, word_hashes
 from scanlens.session import written
 
 WORDS = 5
@@ -356,7 +356,7 @@ def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """
     spark = docs.sparkSession
     body = F.coalesce(F.col(text), F.lit(""))
-    base = docs.select(F.col(key).alias("id"), F.xxhash64(body).alias("print"), body.alias("text"))
+    base = small_batches(docs).select(F.col(key).alias("id"), F.xxhash64(body).alias("print"), body.alias("text"))
     marks = written(_marks(base), "marks")
     first = F.min(F.struct(F.col("id").isNull().alias("void"), "id", "print"))
     groups = marks.where("n > 0").groupBy("set").agg(first.alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("small").alias("small"))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanlens.llm.common import joined, set_aside, stretch_hashes, word_hashes
+from scanlens.llm.common import joined, set_aside, small_batches, stretch_hashes, word_hashes
 from scanlens.llm.setjoin import _cells, _marked, _slices
 from scanlens.session import written
 
@@ -209,7 +209,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", lea
     """
     added = ["n_sentences", "n_removed", "kept_text"]
     names = [c for c in docs.columns if c not in added]
-    docs = docs.select(*names)
+    docs = small_batches(docs).select(*names)
     cuts = written(removals(docs, key, text, least), "cuts").select(F.col("id").alias("__id"), F.col("print").alias("__print"), F.col("cut").alias("__cut"))
     mine = docs.withColumn("__own", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
     joined = mine.join(cuts, F.col("__own").eqNullSafe(F.col("__print")) & F.col(key).eqNullSafe(F.col("__id")), "left").select(*names, "__cut")
