@@ -262,4 +262,6 @@ def test_cross_validation(flows):
     data = flows.select("flow_id", L.attack_exact(F.col("label")).alias("y"), *K.FEATURES)
     rates = cv.cross_validate(data, trees.random_forest(trees=5, max_depth=5), K.FEATURES, folds=2)
     assert rates.count() == 2
+    one_by_one = cv.cross_validate(data, trees.random_forest(trees=5, max_depth=5), K.FEATURES, folds=2, parallel=1)
+    assert sorted(map(tuple, rates.collect())) == sorted(map(tuple, one_by_one.collect()))
     assert evaluate.cv_summary(rates).first()["mean_f1"] > 0.8
