@@ -13,6 +13,8 @@ import hashlib
 import heapq
 import re
 import struct
+from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -95,6 +97,7 @@ class Encoder:
         self.unknown = next(i for i, p in enumerate(model.pieces) if p.type == kinds.UNKNOWN)
         self.surface[self.unknown] = model.trainer_spec.unk_surface.encode()
         self.end = next(i for i, p in enumerate(model.pieces) if p.piece == model.trainer_spec.eos_piece)
+        self.surface |= {i: b"" for i, p in enumerate(model.pieces) if i not in self.surface}
         self.score, self.none = {p: s for p, (s, _) in self.vocab.items()}.get, float("-inf")
         self.digits = [str(i) for i in range(len(model.pieces))]
         self.chunks = self._chunker()
@@ -214,14 +217,11 @@ class Encoder:
     def encode(self, text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
         """Ids with the end id, and the byte span of the original text behind each."""
         plain, at = self.normalise(text)
-        ids: list[int] = []
-        widths: list[int] = []
-        for chunk in self.chunks.findall(plain):
-            own, width = self.known[chunk]
-            ids += own
-            widths += width
+        found = list(map(self.known.__getitem__, self.chunks.findall(plain)))
+        ids = list(chain.from_iterable(map(itemgetter(0), found)))
         ids.append(self.end)
-        edge = at[np.cumsum([0, *widths, 0])]
+        widths = np.fromiter(chain((0,), chain.from_iterable(map(itemgetter(1), found)), (0,)), np.int64, len(ids) + 1)
+        edge = at[np.cumsum(widths)]
         edge[-2:] = at[-1]
         return ids, edge[:-1], edge[1:]
 
@@ -233,15 +233,18 @@ class Encoder:
 
     def decode(self, ids: list[int]) -> str:
         """Text of a row of ids; control ids are silent, added leading blanks go."""
+        if not self.trim:  # one blank only, that of the first piece with text
+            try:
+                text = b"".join(map(self.surface.__getitem__, ids))
+            except KeyError:  # an id beyond the vocabulary is silent
+                text = b"".join(self.surface.get(i, b"") for i in ids)
+            return text[self.prefix and text[:1] == b" " :].decode("utf-8", "replace")
         parts = [self.surface.get(i, b"") for i in ids]
-        if self.prefix or self.trim:
-            for k, part in enumerate(parts):
-                if part[:1] == b" ":
-                    parts[k] = part[1:]
-                    if not self.trim:  # one blank only
-                        break
-                if parts[k]:
-                    break
+        for k, part in enumerate(parts):
+            if part[:1] == b" ":
+                parts[k] = part[1:]
+            if parts[k]:
+                break
         return b"".join(parts).decode("utf-8", "replace")
 
 
