@@ -13,8 +13,6 @@ import hashlib
 import heapq
 import re
 import struct
-from itertools import chain
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -217,11 +215,14 @@ class Encoder:
     def encode(self, text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
         """Ids with the end id, and the byte span of the original text behind each."""
         plain, at = self.normalise(text)
-        found = list(map(self.known.__getitem__, self.chunks.findall(plain)))
-        ids = list(chain.from_iterable(map(itemgetter(0), found)))
+        ids: list[int] = []
+        widths: list[int] = []
+        for chunk in self.chunks.findall(plain):
+            own, width = self.known[chunk]
+            ids += own
+            widths += width
         ids.append(self.end)
-        widths = np.fromiter(chain((0,), chain.from_iterable(map(itemgetter(1), found)), (0,)), np.int64, len(ids) + 1)
-        edge = at[np.cumsum(widths)]
+        edge = at[np.cumsum([0, *widths, 0])]
         edge[-2:] = at[-1]
         return ids, edge[:-1], edge[1:]
 
