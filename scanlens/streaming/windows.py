@@ -42,29 +42,23 @@ def slow_windows(
     return _windowed(flows, window, watermark, source, ts)
 
 
-_HALF = 1 << 15  # ports of one bitmap
-
-
-def _port_bits(port, high: bool):
-    """Bitmap of the ports below, or from, 32,768; others and NULL set no bit."""
-    value = F.col(port).cast("long") - (_HALF if high else 0)
-    return F.bitmap_construct_agg(F.when((value >= 0) & (value < _HALF), value))
+_PORTS = 1 << 16
 
 
 def pane_windows(flows: DataFrame, watermark: str = K.WATERMARK, source: str = "src_ip", ts: str = "ts") -> DataFrame:
     """The sliding windows of ``slow_windows`` out of 10-second panes; closed windows only (append mode).
 
     A flow is aggregated once, into its pane; closed panes then go to the six windows they
-    lie in.  Distinct ports are exact bitmaps of 65,536 bits, so a pane is one state row of
-    bounded size, however many flows and ports it has.
+    lie in.  Distinct ports are exact sets of port numbers: a pane is one state row that is as
+    large as the ports it saw, 65,536 at most.  Values that are no port are not counted.
     """
+    port = F.col("dst_port").cast("long")
     panes = (
         flows.withWatermark(ts, watermark)
         .groupBy(F.window(ts, f"{K.SLOW_WINDOW_SLIDE_SECONDS} seconds").alias("pane"), source)
         .agg(
             F.count(F.lit(1)).alias("n"),
-            _port_bits("dst_port", False).alias("low"),
-            _port_bits("dst_port", True).alias("high"),
+            F.collect_set(F.when((port >= 0) & (port < _PORTS), port.cast("int"))).alias("ports"),
             F.count_if(F.col("syn_flag_count") > 0).alias("syn"),
             F.sum("flow_iat_mean").alias("iat"),
             F.count("flow_iat_mean").alias("iat_known"),
@@ -72,7 +66,7 @@ def pane_windows(flows: DataFrame, watermark: str = K.WATERMARK, source: str = "
         .withColumn("at", F.window_time("pane"))
     )
     window = F.window("at", f"{K.SLOW_WINDOW_SECONDS} seconds", f"{K.SLOW_WINDOW_SLIDE_SECONDS} seconds")
-    ports = F.bitmap_count(F.bitmap_or_agg("low")) + F.bitmap_count(F.bitmap_or_agg("high"))
+    ports = F.size(F.array_distinct(F.flatten(F.collect_list("ports")))).cast("long")  # of six panes at most
     return (
         panes.groupBy(window.alias("w"), source)
         .agg(

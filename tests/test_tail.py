@@ -121,3 +121,14 @@ def test_a_pane_is_one_state_row(spark, tmp_path):
     query.awaitTermination()
     rows_held = [[s["numRowsTotal"] for s in p["stateOperators"]] for p in query.recentProgress if p["stateOperators"]][-1]
     assert sorted(rows_held) == [0, 1]  # no window before its panes are closed
+
+
+def test_a_pane_with_one_port_is_a_small_state_row(spark, tmp_path):
+    """State grows with the ports of a pane; sources with one flow each do not hold a bitmap each."""
+    base = 1_700_000_000
+    rows = [(f"10.1.{i // 256}.{i % 256}", base + i % 10, 22.0, 1.0, 1.0) for i in range(2000)]
+    stream, _ = _flow_stream(spark, f"{tmp_path}/in", rows, 2000)
+    query = dispatch.start(stream_windows.pane_windows(stream, "600 seconds"), dispatch.to_folders(f"{tmp_path}/out"), f"{tmp_path}/checkpoint", refresh_seconds=None)
+    query.awaitTermination()
+    held = max(s["customMetrics"]["rocksdbTotalBytesWritten"] for p in query.recentProgress for s in p["stateOperators"])
+    assert 0 < held < 2000 * 4096
