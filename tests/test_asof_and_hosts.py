@@ -74,3 +74,14 @@ def test_correlations_equal_numpy(spark):
             both = np.array([(r[i], r[j]) for r in rows if r[i] is not None and r[j] is not None])
             want = None if "e" in (p, q) else 1.0 if i == j else np.corrcoef(both.T)[0, 1]
             assert got[p, q] == (None if want is None else pytest.approx(want, abs=1e-7)), (p, q)
+
+
+def test_hosts_of_reports_are_parsed_once(spark, tmp_path):
+    """What reads the hosts reads a written table; none of it parses the reports again."""
+    (tmp_path / "a.xml").write_text('<nmaprun args="-sS"><host><address addr="10.0.0.1" addrtype="ipv4"/><ports><port protocol="tcp" portid="22"><state state="open"/></port></ports></host></nmaprun>')
+    reports, hosts = scans.read_scan_hosts(spark, str(tmp_path))
+    for frame in (reports, hosts):
+        assert "from_xml" not in frame._jdf.queryExecution().optimizedPlan().toString()
+    found = scans.summaries_of_hosts(reports, hosts)
+    assert [(r.scan_type, r.target_ip) for r in found.collect()] == [("syn", "10.0.0.1")]
+    assert [r.open_port for r in scans.open_ports_of_hosts(found, hosts).collect()] == [22]
