@@ -8,8 +8,10 @@ sizes.  A dual traversal drops pairs of subtrees whose largest possible overlap
 small, or that already are one group.  Survivors are compared exactly.
 
 Copies of a text that differ a little would fill buckets with pairs that all link.  So
-nodes are first compared with one pivot for each of their smallest shingles; what links
-there is one group before the buckets are made.
+nodes are first compared with one pivot for each of their smallest shingles, the holder whose
+smallest shingles are the most common: the copy that is least changed.  What links there is
+one group before the buckets are made.  What is near a group but links with nothing in it
+meets it in crowded buckets only, and there larger bitmaps tell nearly all such pairs apart.
 """
 
 from __future__ import annotations
@@ -31,11 +33,13 @@ WORDS = 5
 PERCENT = 80
 #: Bits of a signature: the power of two not below twice the set size, within these limits.
 LEAST_BITS, MOST_BITS = 64, 1 << 17
+#: The same in crowded buckets, where bounds that are not sharp would leave pairs by the square.
+WIDE = 8
 #: Smallest shingles of a node that look for a pivot, and how many must find the same one.
 PIVOTS, AGREE = 8, 3
 #: Further pivots for a node that the first one does not link.
 MORE_PIVOTS = 6
-#: Shingles in more nodes than this are put last in the order of the prefix filter.
+#: Shingles in more nodes than this are put last in the order of the prefix filter, and their buckets are crowded.
 CROWDED = 64
 #: Cells that crowded shingles are hashed to; a bitmap of them (8 MB) goes to the tasks.
 #: A wrongly marked shingle changes the order of the filter, never its result.
@@ -74,13 +78,13 @@ def shingles(text: str) -> np.ndarray:
     return h[np.append(True, h[1:] != h[:-1])]
 
 
-def width(n: int) -> int:
-    return min(MOST_BITS, max(LEAST_BITS, 1 << max(0, 2 * n - 1).bit_length()))
+def width(n: int, times: int = 2) -> int:
+    return min(MOST_BITS, max(LEAST_BITS, 1 << max(0, times * n - 1).bit_length()))
 
 
-def bitmap(tokens: np.ndarray) -> bytes:
+def bitmap(tokens: np.ndarray, times: int = 2) -> bytes:
     """One bit for each token, lowest bit first; the halves of a bitmap can be folded onto each other."""
-    bits = np.zeros(width(len(tokens)), bool)
+    bits = np.zeros(width(len(tokens), times), bool)
     bits[(tokens & np.uint64(len(bits) - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
 
@@ -207,13 +211,22 @@ def _marks(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"id {dict(docs.dtypes)['id']}, print long, n long, set binary, sig binary, small array<long>")
 
 
+def _central(nodes: DataFrame) -> DataFrame:
+    """``(node, n, small, far)`` of the nodes that share one of their smallest shingles; ``far`` is least where those are the most common."""
+    rows = nodes.select("node", F.explode("small").alias("token"))
+    common = rows.groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
+    far = rows.join(common, "token").groupBy("node").agg(F.sum(-F.floor(F.log2("c"))).alias("far"))
+    return nodes.select("node", "n", "small").join(far, "node")
+
+
 def _pivot_pairs(nodes: DataFrame, asking: DataFrame, rounds: range) -> DataFrame:
     """``(a, b)``: asking nodes, and the pivots that several of their smallest shingles agree on.
 
-    Each round draws one pivot for every shingle by a hash of its own.
+    Nodes are those of ``_central``.  Round 0 takes the most central node of every shingle,
+    each other round draws one by a hash of its own.
     """
-    rows = nodes.select("node", "n", F.explode("small").alias("token"))
-    drawn = [F.min(F.struct(F.xxhash64(F.lit(r), "node").alias("h"), "node", "n")).alias(f"p{r}") for r in rounds]
+    rows = nodes.select("node", "n", "far", F.explode("small").alias("token"))
+    drawn = [F.min(F.struct((F.lit(0).cast("long") if r else F.col("far")).alias("far"), F.xxhash64(F.lit(r), "node").alias("h"), "node", "n")).alias(f"p{r}") for r in rounds]
     pivots = rows.groupBy("token").agg(F.count("*").alias("c"), *drawn).where("c > 1").select("token", F.array(*(f"p{r}" for r in rounds)).alias("p"))
     mine = asking.select("node", "n", F.explode("small").alias("token"))
     near = mine.join(pivots, "token").select("node", "n", "token", F.explode(F.array_distinct("p")).alias("p"))
@@ -294,10 +307,21 @@ def _prefixes(reps: DataFrame, crowded: np.ndarray) -> DataFrame:
     return reps.mapInArrow(run, "token long, node long, group long")
 
 
-def _bucket_pairs(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+def _wide(reps: DataFrame) -> DataFrame:
+    """``(node, wide)``: the bitmaps of crowded buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _slices(batches):
+            yield _batch({"node": (b.column("node"), pa.int64()), "wide": ([bitmap(shingles(t), WIDE) for t in b.column("text").to_pylist()], pa.binary())})
+
+    return reps.select("node", "text").mapInArrow(run, "node long, wide binary")
+
+
+def _bucket_pairs(rows: DataFrame, nodes: DataFrame, reps: DataFrame) -> DataFrame:
     """Pairs that the trees of the buckets do not rule out.
 
     Buckets inside one group need no comparison.  Buckets with the same members are one.
+    Rows of crowded buckets bring bitmaps of ``WIDE`` times the set size.
     A pair is given by the first bucket that both nodes share: every row brings the
     smallest buckets of its node, and a pair that shares one before this is left to it.
     """
@@ -305,10 +329,13 @@ def _bucket_pairs(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     rows = written(attach(rows, written(mixed, "mixed"), ["token"], "inner"), "members")
     tokens = rows.groupBy("token").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(3), "node")).alias("y"))
     buckets = tokens.groupBy("x", "y", "c").agg(F.min("token").alias("token"))
-    buckets = written(buckets.select("token", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")), "buckets")
+    buckets = written(buckets.select("token", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks"), (F.col("c") > CROWDED).alias("crowded")), "buckets")
     met = written(attach(rows, buckets, ["token"], "inner"), "met")
+    crowd = written(met.where("crowded").select("node").distinct(), "crowd")
+    wide = written(_wide(attach(reps, crowd, ["node"], "inner")), "wide")
     few = met.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("token")), 1, KNOWN).alias("few"))  # a prefix at most
     met = met.join(few.join(nodes.select("node", "n", "sig"), "node"), "node")
+    met = attach(met, wide, ["node"]).withColumn("sig", F.when(F.col("crowded"), F.col("wide")).otherwise(F.col("sig")))
     own = F.pmod(F.xxhash64(F.lit(11), "node"), F.col("blocks")).cast("int")
     met = met.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
@@ -366,17 +393,18 @@ def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     reps = attach(base, known, ["id", "print"], "inner").select("node", "text").union(attach(base.where("id is null"), lone, ["print"], "inner").select("node", "text"))
     reps = written(reps.dropDuplicates(["node"]) if _repeated(marks) else reps, "reps")
 
-    tried = written(_pivot_pairs(nodes, nodes, range(1)), "pivot-pairs")
+    central = written(_central(nodes), "central")
+    tried = written(_pivot_pairs(central, central, range(1)), "pivot-pairs")
     near = written(_verified(tried, reps), "links")
     # what found a pivot but no link asks further pivots
     lone = tried.select(F.col("a").alias("node")).distinct().join(near.select(F.col("a").alias("node")), "node", "left_anti")
     lone = attach(nodes.select("node", "n", "small"), written(lone, "lone"), ["node"], "inner")
-    near = near.union(written(_verified(_pivot_pairs(nodes, lone, range(1, 1 + MORE_PIVOTS)), reps), "links"))
+    near = near.union(written(_verified(_pivot_pairs(central, lone, range(1, 1 + MORE_PIVOTS)), reps), "links"))
     found = written(components(spark, near).select("node", F.col("comp").alias("group")), "groups")
     grouped = attach(reps, found, ["node"]).withColumn("group", F.coalesce("group", "node"))
     often = _lowest(reps).groupBy("token").count().where(f"count > {CROWDED}")
     rows = written(_prefixes(grouped, _cells(often)), "prefixes")
-    more = written(_verified(_bucket_pairs(rows, nodes), reps), "links")
+    more = written(_verified(_bucket_pairs(rows, nodes, reps), reps), "links")
 
     joined = written(components(spark, near.union(more)).select("node", "comp"), "components")
     mine = attach(nodes.select("node", "set", "id", "print"), joined, ["node"]).withColumn("comp", F.coalesce("comp", "node"))

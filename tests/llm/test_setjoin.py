@@ -66,6 +66,31 @@ def test_trees_lose_no_link():
     assert across <= set(j.pairs_of(rows[:50], rows[50:]))
 
 
+def test_many_near_copies_leave_few_pairs(spark, monkeypatch):
+    """Copies of one text, half of them too far from the others to link: pairs grow with the copies, not with their square."""
+    draw = random.Random(11)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(150)]
+    texts = {}
+    for i in range(500):
+        w = list(base)
+        for k in draw.sample(range(len(w)), draw.randint(1, 7)):
+            w[k] = f"v{draw.randrange(10**6)}"
+        texts[i] = " ".join(w)
+    counts = []
+
+    def counted(*args):
+        pairs = found(*args).localCheckpoint()
+        counts.append(pairs.count())
+        return pairs
+
+    found = j._bucket_pairs
+    monkeypatch.setattr(j, "_bucket_pairs", counted)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in j.link_groups(docs).collect()}
+    assert got == _components(texts)
+    assert counts[0] < 10 * len(texts)
+
+
 def test_odd_rows(spark, odd, none, clashing):
     rows = j.link_groups(clashing).collect()
     assert len(rows) == odd.count()
