@@ -11,13 +11,18 @@ Copies of a text that differ a little would fill buckets with pairs that all lin
 nodes are first compared with one pivot for each of their smallest shingles, the holder whose
 smallest shingles are the most common: the copy that is least changed.  What links there is
 one group before the buckets are made.  What is near a group but links with nothing in it
-meets it in crowded buckets only, and there larger bitmaps tell nearly all such pairs apart.
+meets it in crowded buckets only, and there larger bitmaps tell most such pairs apart.
+
+What a bucket gives does not grow with the square of its members.  The place of its token in
+a prefix bounds the overlap of a pair, and crowded buckets bring whole sets: their pairs are
+compared exactly inside the task, and a pair whose groups are linked by then adds nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations, product
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +53,10 @@ CELL_BITS = 26
 BLOCK = 512
 #: Entries of a leaf and subtrees of an inner tree node.
 FANOUT = 8
-#: Smallest buckets of a node that tell where a pair has been met before.
+#: First buckets of a node that tell where a pair has been met before.
 KNOWN = 8
+#: Larger sets do not travel to crowded buckets (64 KB each); their pairs are left to the comparison of texts.
+LISTED = 8192
 
 _PLACE = np.random.default_rng(5).integers(0, 2**64, WORDS, np.uint64) | np.uint64(1)
 
@@ -291,7 +298,7 @@ def _marked(cells: np.ndarray, tokens: np.ndarray) -> np.ndarray:
 
 
 def _prefixes(reps: DataFrame, crowded: np.ndarray) -> DataFrame:
-    """``(token, node, group)`` for the prefix of every node; crowded shingles come last in the order."""
+    """``(token, at, node, group)`` for the prefix of every node; crowded shingles come last in the order, ``at`` is the place in it."""
     held = reps.sparkSession.sparkContext.broadcast(crowded)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,54 +309,59 @@ def _prefixes(reps: DataFrame, crowded: np.ndarray) -> DataFrame:
                 late = _marked(held.value, s)
                 tokens.append(np.concatenate([s[~late], s[late]])[: prefix_length(len(s))])
             sizes = [len(t) for t in tokens]
-            yield _batch({"token": (np.concatenate(tokens).view(np.int64), pa.int64()), **{c: (np.repeat(b.column(c).to_numpy(), sizes), pa.int64()) for c in ("node", "group")}})
+            at = np.concatenate([np.arange(k, dtype=np.int32) for k in sizes])
+            yield _batch({"token": (np.concatenate(tokens).view(np.int64), pa.int64()), "at": (at, pa.int32()), **{c: (np.repeat(b.column(c).to_numpy(), sizes), pa.int64()) for c in ("node", "group")}})
 
-    return reps.mapInArrow(run, "token long, node long, group long")
+    return reps.mapInArrow(run, "token long, at int, node long, group long")
 
 
 def _wide(reps: DataFrame) -> DataFrame:
-    """``(node, wide)``: the bitmaps of crowded buckets."""
+    """``(node, wide, whole)``: the bitmaps of crowded buckets, and the sets; larger ones than ``LISTED`` are null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
-            yield _batch({"node": (b.column("node"), pa.int64()), "wide": ([bitmap(shingles(t), WIDE) for t in b.column("text").to_pylist()], pa.binary())})
+            sets = [shingles(t) for t in b.column("text").to_pylist()]
+            wide, whole = [bitmap(s, WIDE) for s in sets], [s.tobytes() if len(s) <= LISTED else None for s in sets]
+            yield _batch({"node": (b.column("node"), pa.int64()), "wide": (wide, pa.binary()), "whole": (whole, pa.binary())})
 
-    return reps.select("node", "text").mapInArrow(run, "node long, wide binary")
+    return reps.select("node", "text").mapInArrow(run, "node long, wide binary, whole binary")
 
 
 def _bucket_pairs(rows: DataFrame, nodes: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs that the trees of the buckets do not rule out.
+    """Pairs that the buckets do not rule out, without those that join no groups.
 
-    Buckets inside one group need no comparison.  Buckets with the same members are one.
-    Rows of crowded buckets bring bitmaps of ``WIDE`` times the set size.
-    A pair is given by the first bucket that both nodes share: every row brings the
-    smallest buckets of its node, and a pair that shares one before this is left to it.
+    Buckets inside one group need no comparison.  Buckets with the same members are one,
+    that of the token which comes first.  Rows of crowded buckets bring bitmaps of ``WIDE``
+    times the set size, and their sets.  A pair is given by the first bucket that both nodes
+    share: every row brings the buckets its node has before, and a pair that shares one of
+    them is left to it.
     """
     mixed = rows.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi").select("token")
     rows = written(attach(rows, written(mixed, "mixed"), ["token"], "inner"), "members")
-    tokens = rows.groupBy("token").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(3), "node")).alias("y"))
-    buckets = tokens.groupBy("x", "y", "c").agg(F.min("token").alias("token"))
+    tokens = rows.groupBy("token").agg(F.count("*").alias("c"), F.min("at").alias("at"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(3), "node")).alias("y"))
+    buckets = tokens.groupBy("x", "y", "c").agg(F.min_by("token", "at").alias("token"))  # all members have them in one order
     buckets = written(buckets.select("token", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks"), (F.col("c") > CROWDED).alias("crowded")), "buckets")
     met = written(attach(rows, buckets, ["token"], "inner"), "met")
     crowd = written(met.where("crowded").select("node").distinct(), "crowd")
     wide = written(_wide(attach(reps, crowd, ["node"], "inner")), "wide")
-    few = met.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("token")), 1, KNOWN).alias("few"))  # a prefix at most
+    few = met.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("at", "token"))), 1, KNOWN).alias("few"))  # a prefix at most
     met = met.join(few.join(nodes.select("node", "n", "sig"), "node"), "node")
-    met = attach(met, wide, ["node"]).withColumn("sig", F.when(F.col("crowded"), F.col("wide")).otherwise(F.col("sig")))
+    met = met.withColumn("few", F.expr("transform(filter(few, x -> x.at < at), x -> x.token)"))
+    met = attach(met, wide, ["node"]).withColumns({"sig": F.when(F.col("crowded"), F.col("wide")).otherwise(F.col("sig")), "whole": F.when(F.col("crowded"), F.col("whole"))})
     own = F.pmod(F.xxhash64(F.lit(11), "node"), F.col("blocks")).cast("int")
     met = met.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
-    met = met.select("token", "i", "j", "own", "few", "node", "group", "n", "sig").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    met = met.select("token", "i", "j", "own", "few", "at", "whole", "node", "group", "n", "sig").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
         for b in _slices(batches):
             found: list[tuple[int, int]] = []
-            for token, i, j, own, few, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for token, i, j, own, few, at, whole, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if (token, i, j) != bucket:
                     found += _pairs(bucket, held)
                     bucket, held = (token, i, j), []
-                held.append((own, {t for t in few if t < token}, row))
+                held.append(Member(own, set(few), at, whole, tuple(row)))
             yield _batch({"a": ([p[0] for p in found], pa.int64()), "b": ([p[1] for p in found], pa.int64())})
         found = _pairs(bucket, held)
         yield _batch({"a": ([p[0] for p in found], pa.int64()), "b": ([p[1] for p in found], pa.int64())})
@@ -357,18 +369,59 @@ def _bucket_pairs(rows: DataFrame, nodes: DataFrame, reps: DataFrame) -> DataFra
     return met.mapInArrow(run, "a long, b long").distinct()
 
 
-def _pairs(bucket: tuple[int, int, int] | None, held: list[tuple[int, set[int], list]]) -> list[tuple[int, int]]:
-    """Pairs of a bucket, or of two of its blocks, that no smaller bucket is known to hold."""
+class Member(NamedTuple):
+    """A row of a bucket: its block, the node's buckets before this one, the token's place, the set if it came along, and the row of a tree."""
+
+    own: int
+    before: set[int]
+    at: int
+    whole: bytes | None
+    row: tuple[int, int, int, bytes]
+
+
+def reaches(a: Member, n: int, least: int) -> bool:
+    """Whether ``n`` shared elements at most can link a member with a set of ``least`` elements."""
+    return (100 + PERCENT) * n >= PERCENT * (a.row[2] + least)
+
+
+def _pairs(bucket: tuple[int, int, int] | None, held: list[Member]) -> list[tuple[int, int]]:
+    """Pairs of a bucket, or of two of its blocks, that may link, belong to it and join two groups.
+
+    The token is the first that a pair of this bucket shares: what stands before it is in one
+    set only.  If both sets came along the pair is compared exactly, and given only if its
+    groups are not joined by the pairs that were found to link before.
+    """
+    least = min((m.row[2] for m in held), default=0)
+    held = [m for m in held if reaches(m, m.row[2] - m.at, least)]
     if len(held) < 2:
         return []
     _, i, j = bucket
-    before = {row[0]: few for _, few, row in held}
+    by = {m.row[0]: m for m in held}
     if i == j:
-        found = pairs_of([tuple(r) for *_, r in held])
+        found = pairs_of([m.row for m in held])
     else:
-        left, right = ([tuple(r) for own, _, r in held if own == k] for k in (i, j))
+        left, right = ([m.row for m in held if m.own == k] for k in (i, j))
         found = pairs_of(left, right) if left and right else ()
-    return [(a, b) for a, b in found if before[a].isdisjoint(before[b])]
+    above: dict[int, int] = {}
+    out = []
+    for a, b in found:
+        x, y = by[a], by[b]
+        if not reaches(x, min(x.row[2] - x.at, y.row[2] - y.at), y.row[2]) or not x.before.isdisjoint(y.before):
+            continue
+        if x.whole is not None and y.whole is not None:
+            p, q = _top(above, x.row[1]), _top(above, y.row[1])
+            if p == q or not similar(np.frombuffer(x.whole, np.uint64), np.frombuffer(y.whole, np.uint64)):
+                continue
+            above[p] = q
+        out.append((a, b))
+    return out
+
+
+def _top(above: dict[int, int], group: int) -> int:
+    """The group that stands for all that a group has been joined with."""
+    while group in above:
+        above[group] = group = above.get(above[group], above[group])
+    return group
 
 
 def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:

@@ -91,6 +91,42 @@ def test_many_near_copies_leave_few_pairs(spark, monkeypatch):
     assert counts[0] < 10 * len(texts)
 
 
+@pytest.mark.parametrize(("gap", "linked"), [(3, True), (4, False)])
+def test_crowded_buckets_leave_few_pairs(spark, monkeypatch, gap, linked):
+    """Copies on both sides of the limit that no pivot has grouped: neither links nor near misses leave pairs by the square."""
+    monkeypatch.setattr(j, "PIVOTS", 0)
+    draw = random.Random(13)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(150)]
+    texts = {}
+    for i in range(400):
+        w = list(base)
+        at = draw.randrange(4, 140)
+        w[at], w[at + gap] = f"v{i}", f"u{i}"
+        texts[i] = " ".join(w)
+    sets = [j.shingles(texts[i]) for i in range(12)]
+    assert (sum(j.similar(a, b) for a in sets for b in sets) > 100) == linked
+    counts = []
+
+    def counted(*args):
+        pairs = found(*args).localCheckpoint()
+        counts.append(pairs.count())
+        return pairs
+
+    found = j._bucket_pairs
+    monkeypatch.setattr(j, "_bucket_pairs", counted)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in j.link_groups(docs).collect()}
+    assert got == _components(texts)
+    assert 0 < counts[0] < 10 * len(texts)
+
+
+def test_joined_groups_stay_joined():
+    above: dict[int, int] = {}
+    for a, b in [(1, 2), (3, 4), (2, 4), (5, 1)]:
+        above[j._top(above, a)] = j._top(above, b)
+    assert len({j._top(above, x) for x in range(1, 6)}) == 1 and j._top(above, 6) == 6
+
+
 def test_odd_rows(spark, odd, none, clashing):
     rows = j.link_groups(clashing).collect()
     assert len(rows) == odd.count()
