@@ -23,6 +23,7 @@ from scanlens.llm.common import map_batches, texts
 SPACE = "▁"
 #: Chunks of one generation of a task's memory.
 CHUNK_CACHE = 250_000
+_PACK = struct.Struct("=II").pack
 
 
 class CharacterMap:
@@ -98,6 +99,7 @@ class Encoder:
         self.surface |= {i: b"" for i, p in enumerate(model.pieces) if i not in self.surface}
         self.score, self.none = {p: s for p, (s, _) in self.vocab.items()}.get, float("-inf")
         self.digits = [str(i) for i in range(len(model.pieces))]
+        self.packed = {p: _PACK(i, len(p)) for p, (_, i) in self.vocab.items()}
         self.chunks = self._chunker()
         self.known = _Chunks(self._segment)
 
@@ -163,12 +165,12 @@ class Encoder:
         scores = [score(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
         while scores and (best := max(scores)) > none:
             i = scores.index(best)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            parts[i] = pair = parts[i] + parts.pop(i + 1)
             del scores[i]
             if i:
-                scores[i - 1] = score(parts[i - 1] + parts[i], none)
+                scores[i - 1] = score(parts[i - 1] + pair, none)
             if i < len(scores):
-                scores[i] = score(parts[i] + parts[i + 1], none)
+                scores[i] = score(pair + parts[i + 1], none)
         return parts
 
     def _merge_long(self, chunk: str) -> list[str]:
@@ -196,33 +198,26 @@ class Encoder:
             offer(i, right[i])
         return [p for p in parts if p is not None]
 
-    def _segment(self, chunk: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
-        """Ids, and the characters each id ends (0 for all but the last byte of one)."""
-        ids, widths = [], []
-        for piece in self._merge(chunk):
-            if piece in self.vocab:
-                ids.append(self.vocab[piece][1])
-                widths.append(len(piece))
-            elif self.bytes:
-                raw = piece.encode()
-                ids += [self.bytes[b] for b in raw]
-                widths += [0] * (len(raw) - 1) + [1]
-            else:
-                ids.append(self.unknown)
-                widths.append(len(piece))
-        return tuple(ids), tuple(widths)
+    def _segment(self, chunk: str) -> bytes:
+        """Ids, each followed by the characters it ends (0 for all but the last byte of one), as 32-bit numbers."""
+        return b"".join([self.packed.get(piece) or self._unlisted(piece) for piece in self._merge(chunk)])
+
+    def _unlisted(self, piece: str) -> bytes:
+        """The same for a character that is no piece."""
+        if not self.bytes:
+            return _PACK(self.unknown, len(piece))
+        raw = piece.encode()
+        return b"".join(_PACK(self.bytes[b], k == len(raw)) for k, b in enumerate(raw, 1))
 
     def encode(self, text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
         """Ids with the end id, and the byte span of the original text behind each."""
         plain, at = self.normalise(text)
-        ids: list[int] = []
-        widths: list[int] = []
-        for chunk in self.chunks.findall(plain):
-            own, width = self.known[chunk]
-            ids += own
-            widths += width
+        found = np.frombuffer(b"".join(map(self.known.__getitem__, self.chunks.findall(plain))), np.uint32)
+        ids = found[::2].tolist()
         ids.append(self.end)
-        edge = at[np.cumsum([0, *widths, 0])]
+        edge = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(found[1::2], out=edge[1:-1])
+        edge = at[edge]
         edge[-2:] = at[-1]
         return ids, edge[:-1], edge[1:]
 

@@ -106,3 +106,12 @@ def test_operator_on_odd_rows(spark, odd, none, clashing, library):
     assert [r.decoded for r in full] == [library.decode(r.ids) for r in full]
     assert {len(r.ids) == len(r.begin) == len(r.end) for r in full} == {True}
     assert pieces.encoding_digests(none, MODEL).count() == 0
+
+
+def test_remembered_chunks_are_flat():
+    """A chunk is remembered as one row of bytes, which the collector does not visit, with a number and a width for each id."""
+    encoder = pieces.Encoder(open(MODEL, "rb").read())
+    for text in ("", "plain words", "𝔘 \x07 naïve"):
+        ids, begin, end = encoder.encode(text)
+        assert len(ids) == len(begin) == len(end) and int((end - begin).sum()) == len(text.encode())
+    assert encoder.known and all(isinstance(v, bytes) and not len(v) % 8 for v in encoder.known.values())
