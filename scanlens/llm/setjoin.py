@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scanlens.llm.common import attach, components, small_batches, word_hashes
-from scanlens.session import written
+from scanlens.session import drop_path, shared_folder, written
 
 WORDS = 5
 #: Two sets link if ``100 * overlap >= PERCENT * union``.
@@ -272,20 +272,23 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.R
 
 
 def _lowest(reps: DataFrame) -> DataFrame:
-    """``token`` for the lowest quarter of each node's shingles."""
+    """``key`` for the lowest quarter of each node's shingles: the upper half of the shingle, which holds its cell.
+
+    Shingles that share a half are counted as one; that may mark a cell wrongly, and is half of what would travel.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
             tokens = [s[: len(s) // 4 + 1] for s in (shingles(t) for t in b.column("text").to_pylist())]
-            yield _batch({"token": (np.concatenate(tokens).view(np.int64), pa.int64())})
+            yield _batch({"key": ((np.concatenate(tokens) >> np.uint64(32)).astype(np.uint32).view(np.int32), pa.int32())})
 
-    return reps.select("text").mapInArrow(run, "token long")
+    return reps.select("text").mapInArrow(run, "key int")
 
 
-def _cells(tokens: DataFrame) -> np.ndarray:
-    """Bitmap of the cells of some tokens, as bytes; at most 2^CELL_BITS bits reach the driver."""
-    cell = F.shiftrightunsigned("token", 64 - CELL_BITS)
-    words = tokens.groupBy(F.shiftright(cell, 6).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(%s & 63 as int))" % f"shiftrightunsigned(token, {64 - CELL_BITS})")).alias("bits"))
+def _cells(keys: DataFrame) -> np.ndarray:
+    """Bitmap of the cells of some keys, as 64-bit words; at most 2^CELL_BITS bits reach the driver."""
+    cell = F.shiftrightunsigned("key", 32 - CELL_BITS)
+    words = keys.groupBy(F.shiftright(cell, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, shiftrightunsigned(key, {32 - CELL_BITS}) & 63)")).alias("bits"))
     out = np.zeros(1 << (CELL_BITS - 6), np.uint64)
     found = words.toArrow()
     out[found.column("w").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
@@ -298,21 +301,23 @@ def _marked(cells: np.ndarray, tokens: np.ndarray) -> np.ndarray:
 
 
 def _prefixes(reps: DataFrame, crowded: np.ndarray) -> DataFrame:
-    """``(token, at, node, group)`` for the prefix of every node; crowded shingles come last in the order, ``at`` is the place in it."""
+    """``(token, at, n, node, group)`` for the prefix of every node; crowded shingles come last in the order, ``at`` is the place in it."""
     held = reps.sparkSession.sparkContext.broadcast(crowded)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
-            tokens = []
+            tokens, full = [], []
             for t in b.column("text").to_pylist():
                 s = shingles(t)
+                full.append(len(s))
                 late = _marked(held.value, s)
                 tokens.append(np.concatenate([s[~late], s[late]])[: prefix_length(len(s))])
             sizes = [len(t) for t in tokens]
             at = np.concatenate([np.arange(k, dtype=np.int32) for k in sizes])
-            yield _batch({"token": (np.concatenate(tokens).view(np.int64), pa.int64()), "at": (at, pa.int32()), **{c: (np.repeat(b.column(c).to_numpy(), sizes), pa.int64()) for c in ("node", "group")}})
+            n = np.repeat(np.array(full, np.int32), sizes)
+            yield _batch({"token": (np.concatenate(tokens).view(np.int64), pa.int64()), "at": (at, pa.int32()), "n": (n, pa.int32()), **{c: (np.repeat(b.column(c).to_numpy(), sizes), pa.int64()) for c in ("node", "group")}})
 
-    return reps.mapInArrow(run, "token long, at int, node long, group long")
+    return reps.mapInArrow(run, "token long, at int, n int, node long, group long")
 
 
 def _wide(reps: DataFrame) -> DataFrame:
@@ -327,25 +332,49 @@ def _wide(reps: DataFrame) -> DataFrame:
     return reps.select("node", "text").mapInArrow(run, "node long, wide binary, whole binary")
 
 
+def _mixed(prefixes: DataFrame) -> DataFrame:
+    """The rows whose token is in nodes of two groups; the prefixes, which are many more, are dropped then."""
+    spark = prefixes.sparkSession
+    path = shared_folder(spark, "prefixes")
+    prefixes.write.parquet(path)
+    rows = spark.read.parquet(path)
+    mixed = rows.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi").select("token")
+    members = written(attach(rows, written(mixed, "mixed"), ["token"], "inner"), "members")
+    drop_path(spark, path)
+    return members
+
+
+def _living(rows: DataFrame) -> DataFrame:
+    """The rows of buckets that some pair of two groups may need.
+
+    At the first token that a linked pair shares, the shared elements are at most what is
+    left of either set from there.  So the smaller set is not far from its start there, and the
+    larger one has enough left for the least such set of the bucket.
+    """
+    left = f"{100 + PERCENT}L * (n - at)"
+    least = rows.where(f"{left} >= {2 * PERCENT}L * n").groupBy("token").agg(F.min("n").alias("least"))
+    rows = attach(rows, written(least, "least-sizes"), ["token"], "inner").where(f"{left} >= {PERCENT}L * (n + least)")
+    return rows.drop("least")
+
+
 def _bucket_pairs(rows: DataFrame, nodes: DataFrame, reps: DataFrame) -> DataFrame:
     """Pairs that the buckets do not rule out, without those that join no groups.
 
-    Buckets inside one group need no comparison.  Buckets with the same members are one,
-    that of the token which comes first.  Rows of crowded buckets bring bitmaps of ``WIDE``
-    times the set size, and their sets.  A pair is given by the first bucket that both nodes
-    share: every row brings the buckets its node has before, and a pair that shares one of
-    them is left to it.
+    Rows are those of ``_mixed``: buckets inside one group need no comparison, nor do rows that
+    can reach no other (``_living``).  Buckets with the same members are one, that of the token
+    which comes first.  Rows of crowded buckets bring bitmaps of ``WIDE`` times the set size,
+    and their sets.  A pair is given by the first bucket that both nodes share: every row
+    brings the buckets its node has before, and a pair that shares one of them is left to it.
     """
-    mixed = rows.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi").select("token")
-    rows = written(attach(rows, written(mixed, "mixed"), ["token"], "inner"), "members")
-    tokens = rows.groupBy("token").agg(F.count("*").alias("c"), F.min("at").alias("at"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(3), "node")).alias("y"))
+    rows = written(_living(rows), "living")
+    tokens = rows.groupBy("token").agg(F.count("*").alias("c"), F.min("at").alias("at"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(3), "node")).alias("y"), F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi")
     buckets = tokens.groupBy("x", "y", "c").agg(F.min_by("token", "at").alias("token"))  # all members have them in one order
     buckets = written(buckets.select("token", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks"), (F.col("c") > CROWDED).alias("crowded")), "buckets")
     met = written(attach(rows, buckets, ["token"], "inner"), "met")
     crowd = written(met.where("crowded").select("node").distinct(), "crowd")
     wide = written(_wide(attach(reps, crowd, ["node"], "inner")), "wide")
     few = met.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("at", "token"))), 1, KNOWN).alias("few"))  # a prefix at most
-    met = met.join(few.join(nodes.select("node", "n", "sig"), "node"), "node")
+    met = met.join(few.join(nodes.select("node", "sig"), "node"), "node")
     met = met.withColumn("few", F.expr("transform(filter(few, x -> x.at < at), x -> x.token)"))
     met = attach(met, wide, ["node"]).withColumns({"sig": F.when(F.col("crowded"), F.col("wide")).otherwise(F.col("sig")), "whole": F.when(F.col("crowded"), F.col("whole"))})
     own = F.pmod(F.xxhash64(F.lit(11), "node"), F.col("blocks")).cast("int")
@@ -455,8 +484,8 @@ def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     near = near.union(written(_verified(_pivot_pairs(central, lone, range(1, 1 + MORE_PIVOTS)), reps), "links"))
     found = written(components(spark, near).select("node", F.col("comp").alias("group")), "groups")
     grouped = attach(reps, found, ["node"]).withColumn("group", F.coalesce("group", "node"))
-    often = _lowest(reps).groupBy("token").count().where(f"count > {CROWDED}")
-    rows = written(_prefixes(grouped, _cells(often)), "prefixes")
+    often = _lowest(reps).groupBy("key").count().where(f"count > {CROWDED}")
+    rows = _mixed(_prefixes(grouped, _cells(often)))
     more = written(_verified(_bucket_pairs(rows, nodes, reps), reps), "links")
 
     joined = written(components(spark, near.union(more)).select("node", "comp"), "components")

@@ -127,6 +127,48 @@ def test_joined_groups_stay_joined():
     assert len({j._top(above, x) for x in range(1, 6)}) == 1 and j._top(above, 6) == 6
 
 
+def test_buckets_hold_only_rows_that_can_link(spark, monkeypatch):
+    """Sets that share a token far from the start of both reach no one by it; a row far from its start needs a smaller set."""
+    sent = {}
+
+    def spied(df, purpose):
+        out = keep(df, purpose)
+        sent[purpose] = out.count()
+        return out
+
+    keep = j.written
+    monkeypatch.setattr(j, "written", spied)
+    words = [" ".join(f"x{i}w{k}" for k in range(104)) for i in range(4)]
+    reps = spark.createDataFrame(list(enumerate(words)), "node long, text string")
+    nodes = spark.createDataFrame([(i, 100, j.bitmap(j.shingles(w))) for i, w in enumerate(words)], "node long, n long, sig binary")
+
+    def met(rows):
+        j._bucket_pairs(spark.createDataFrame([(t, at, n, k, k) for t, at, n, k in rows], "token long, at int, n int, node long, group long"), nodes, reps)
+        return sent["met"]
+
+    assert met([(7, 15, 100, 0), (7, 18, 100, 1)]) == 0
+    assert met([(7, 15, 100, 0), (7, 3, 100, 1)]) == 0
+    assert met([(7, 15, 100, 0), (7, 3, 85, 1)]) == 2
+    assert met([(7, 15, 100, 0), (7, 3, 85, 1), (7, 20, 100, 2), (8, 2, 100, 0), (8, 2, 100, 2), (8, 9, 100, 3)]) == 5
+
+
+def test_rows_of_linked_pairs_live(spark):
+    """At the first token that a linked pair shares both its rows are kept, whatever else is in the bucket."""
+    draw = random.Random(17)
+    sets = []
+    for _ in range(40):
+        base = draw.sample(range(3000), draw.randint(3, 120))
+        for _ in range(4):
+            sets.append(sorted(set(draw.sample(base, len(base) - draw.randint(0, len(base) // 7)) + draw.sample(range(3000), draw.randint(0, 3)))))
+    rows = [(t, at, len(s), i, i) for i, s in enumerate(sets) for at, t in enumerate(s[: j.prefix_length(len(s))])]
+    kept = {(r.token, r.node) for r in j._living(spark.createDataFrame(rows, "token long, at int, n int, node long, group long")).collect()}
+    linked = [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len({*sets[a]} & {*sets[b]}) >= 80 * len({*sets[a]} | {*sets[b]})]
+    assert len(linked) > 30 and len(kept) < len(rows)
+    for a, b in linked:
+        first = min({*sets[a]} & {*sets[b]})
+        assert (first, a) in kept and (first, b) in kept
+
+
 def test_odd_rows(spark, odd, none, clashing):
     rows = j.link_groups(clashing).collect()
     assert len(rows) == odd.count()
