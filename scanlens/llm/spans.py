@@ -184,7 +184,8 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", least: in
     body = F.coalesce(F.col(text), F.lit(""))
     base = docs.select(F.col(key).alias("id"), F.xxhash64(body).alias("print"), body.alias("text"))
     often = written(_run_rows(base, least).groupBy("run").count().where("count > 1").select(F.col("run").alias("token")), "often")
-    near = written(_run_rows(base, least, _cells(often)), "near")
+    halves = often.select(F.shiftright("token", 32).cast("int").alias("key"))  # with the sign, so that it fits
+    near = written(_run_rows(base, least, _cells(halves)), "near")
     place = F.struct(F.col("id").isNull().alias("late"), "id", "print", "first")
     # repeated rows count as well; they are their own first place and drop out below
     repeated = near.groupBy("run").agg(F.min(F.struct(place.alias("at"), F.col("last"))).alias("low"), F.count("*").alias("n"))

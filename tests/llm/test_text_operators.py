@@ -293,3 +293,14 @@ def test_word_tables_agree_with_spans(docs, odd):
         for w, x in zip(words, h, strict=True):
             raw = np.frombuffer(w.encode(), np.uint8)
             assert word_hashes(raw, np.array([0]), np.array([len(raw)]))[0] == x
+
+
+def test_cells_of_runs_of_either_sign_are_marked(spark):
+    """The bitmap takes upper halves of hashes; runs are whole ones, half of them negative."""
+    passage = [" ".join(f"w{k}x{i}" for i in range(30)) + "." for k in range(12)]
+    h = np.concatenate([spans.runs(p)[2] for p in passage]).view(np.int64)
+    assert h.min() < 0 < h.max()
+    rows = [(i, p) for p in passage for i in (1, 2)]
+    docs = spark.createDataFrame([(i, " ".join(p for j, p in rows if j == i)) for i in (1, 2)], "doc_id long, text string")
+    kept = {r["doc_id"]: (r["n_sentences"], r["n_removed"], r["kept_text"]) for r in spans.remove_repeats(docs).collect()}
+    assert kept == {1: (12, 0, " ".join(passage)), 2: (12, 12, "")}
